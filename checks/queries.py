@@ -39,7 +39,7 @@ from gridmart.quality import (
     orphans,
     rule,
 )
-from gridmart.session import new_work_path
+from gridmart.session import new_work_path, tune
 from gridmart.sinks.raw import read_raw, replace_by_source_file
 from gridmart.sources import build_manifest, flatten, landing_status, registry, year_range
 from gridmart.sources.registry import DATASETS
@@ -60,7 +60,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(adapter.sources(spark, sf_dir))
+    return Warehouse(adapter.sources(tune(spark), sf_dir))
 
 
 # --- staged tables -------------------------------------------------------------------------
@@ -76,7 +76,7 @@ def _staged(name: str):
 
     @query(name, model(name, columns))
     def run(spark, sf_dir):
-        return adapter.sources(spark, sf_dir)[name].select(*columns)
+        return adapter.sources(tune(spark), sf_dir)[name].select(*columns)
 
 
 for _name in STAGED:
@@ -136,7 +136,7 @@ for _name in MARTS:
 )
 def run_dim_date(spark, sf_dir):
     """The calendar between the first and last game day, with the games of each day."""
-    games = adapter.sources(spark, sf_dir)["stg_games"]
+    games = adapter.sources(tune(spark), sf_dir)["stg_games"]
     days = dim_date(games.agg(F.min("gameday").alias("first_day"), F.max("gameday").alias("last_day")))
     played = games.groupBy(F.col("gameday").alias("date")).agg(F.count(F.lit(1)).alias("games"))
     return days.join(played, "date", "left").fillna(0, ["games"])

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridmart.plans.columns import play_inputs
+from gridmart.session import spread
 from gridmart.sources.staging import GAMES, PLAYER_STATS, ROSTERS, TEAM_WEEK, TEAMS, stage
 
 # 25 nations are known codes; the 26th code (N25) is in no seed.
@@ -41,11 +42,12 @@ def _code(number: str) -> str:
 
 
 def _filler(name: str, i: int, kind: str, a: str, b: str) -> str:
-    """Values for a column no rule below depends on: distinct by column, some NULL."""
-    gap = f"({a} + {i}) % 9 = 0"
+    """Cheap values for a column no rule below depends on: distinct by column, some NULL."""
     if kind == "string":
-        return f"CASE WHEN {gap} THEN NULL ELSE concat('{name}-', CAST(({b} + {i}) % 37 AS STRING)) END"
-    return f"CASE WHEN {gap} THEN NULL ELSE CAST(({b} + {a} * {i}) % 101 AS {kind.upper()}) END"
+        return f"CASE ({a} + {i}) % 3 WHEN 0 THEN '{name}-a' WHEN 1 THEN '{name}-b' END"
+    if kind == "int":
+        return f"CASE WHEN ({a} + {i}) % 9 = 0 THEN NULL ELSE CAST({b} % 100 + {i} AS INT) END"
+    return f"CASE WHEN ({a} + {i}) % 9 = 0 THEN NULL ELSE CAST({b} + {i} AS DOUBLE) END"
 
 
 STRING_ENDINGS = (
@@ -259,13 +261,13 @@ class Sources(dict):
         if name == "dim_franchise_seed":
             return _franchises(self._read("nation"))
         if name == "stg_play_by_play":
-            raw = _plays(self._read("lineitem"))
+            raw = _plays(spread(self._read("lineitem")))
         elif name == "stg_games":
-            raw = self._read("orders").selectExpr(*_select(game_expressions()))
+            raw = spread(self._read("orders")).selectExpr(*_select(game_expressions()))
         elif name == "stg_roster_weekly":
-            raw = self._read("events").selectExpr(*_select(roster_expressions()))
+            raw = spread(self._read("events")).selectExpr(*_select(roster_expressions()))
         else:
-            raw = self._read(PLAIN[name][0]).selectExpr(*_select(plain_expressions(name)))
+            raw = spread(self._read(PLAIN[name][0])).selectExpr(*_select(plain_expressions(name)))
         return stage(raw, name)
 
     def _read(self, table: str) -> DataFrame:

@@ -28,8 +28,14 @@ def lenient_double(name: str) -> Column:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating columns becomes NULL, so MAX, AVG and SUM skip it."""
-    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+    def clean(field: T.StructField) -> str:
+        name = f"`{field.name}`"
+        if isinstance(field.dataType, T.DoubleType):
+            return f"nanvl({name}, CAST(NULL AS DOUBLE)) AS {name}"
+        if isinstance(field.dataType, T.FloatType):
+            return f"CASE WHEN NOT isnan({name}) THEN {name} END AS {name}"
+        return name
+
     # SQL text: one parse is far quicker than hundreds of Column objects on wide tables.
-    return df.selectExpr(
-        *[f"CASE WHEN NOT isnan(`{c}`) THEN `{c}` END AS `{c}`" if c in floats else f"`{c}`" for c in df.columns]
-    )
+    return df.selectExpr(*[clean(f) for f in df.schema.fields])
