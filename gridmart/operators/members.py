@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 def without_parent(
     child: DataFrame, parent: DataFrame, keys: dict[str, str] | list[str]
 ) -> DataFrame:
-    """Child rows whose non-NULL key has no parent. ``keys`` maps child to parent columns."""
+    """Child rows whose non-NULL key has no parent. ``keys`` maps child to parent columns.
+
+    Parent keys are made distinct first: a key repeated millions of times
+    enters the join once.
+    """
     pairs = keys if isinstance(keys, dict) else {k: k for k in keys}
-    known = parent.select(*[F.col(p).alias(f"_p_{c}") for c, p in pairs.items()])
+    known = parent.select(*[F.col(p).alias(f"_p_{c}") for c, p in pairs.items()]).distinct()
     on = [F.col(c) == F.col(f"_p_{c}") for c in pairs]
     for c in pairs:
         child = child.filter(F.col(c).isNotNull())

@@ -12,7 +12,7 @@ def save_mart(df: DataFrame, path: str, partition_by: str | None = "season") ->
     chronological split read only their folders. The rebalance hint lets AQE
     split a season that holds most of the rows and merge small ones.
     """
-    if partition_by in df.columns:
+    if partition_by and partition_by in df.columns:
         writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
     else:
         writer = df.hint("rebalance").write

@@ -83,7 +83,7 @@ RENAMES = {"stg_play_by_play": {"safety": "safety_flag"}}
 
 
 def require_columns(df: DataFrame, columns: list[str], what: str) -> None:
-    missing = sorted(set(columns) - {c.lower() for c in df.columns})
+    missing = sorted({c.lower() for c in columns} - {c.lower() for c in df.columns})
     if missing:
         raise ValueError(f"{what} is missing expected columns: {', '.join(missing)}")
 
