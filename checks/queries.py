@@ -39,7 +39,7 @@ from gridmart.quality import (
     orphans,
     rule,
 )
-from gridmart.session import new_work_path, tune
+from gridmart.session import new_work_path, stored, tune
 from gridmart.sinks.raw import read_raw, replace_by_source_file
 from gridmart.sources import build_manifest, flatten, landing_status, registry, year_range
 from gridmart.sources.registry import DATASETS
@@ -504,7 +504,7 @@ READY = ["score_differential", "temperature", "wind", "ydstogo"]
 
 def _prepared(spark, sf_dir):
     features = warehouse(spark, sf_dir).table("ml_play_success_features")
-    split = chrono_split(model_input(features))
+    split = chrono_split(stored(model_input(features), "features", "season"))
     return split, fit_preprocess(
         split.filter("split = 'train'"), spec.NUMERIC, spec.CATEGORICAL
     )
@@ -548,7 +548,9 @@ def run_standardize(spark, sf_dir):
 )
 def run_dummy(spark, sf_dir):
     features = warehouse(spark, sf_dir).table("ml_play_success_features")
-    split = chrono_split(features)
+    split = chrono_split(
+        stored(features.select("season", spec.TARGET), "targets", "season")
+    )
     guess = dummy_prediction(split.filter("split = 'train'"))
     scored = split.withColumn("guess", F.lit(guess).cast("int"))
     accuracy = binary_metrics(scored, spec.TARGET, "guess", ["split", "guess"])

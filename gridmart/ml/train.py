@@ -21,6 +21,7 @@ from gridmart.sinks.results import (
     AppendResult,
     append_result,
 )
+from gridmart.sources.staging import require_rows
 
 
 @dataclass(frozen=True)
@@ -60,11 +61,13 @@ def fit_logistic(train: DataFrame, target: str = spec.TARGET):
 def train(features: DataFrame, run_id: str | None = None) -> Run:
     """Fit both models on the training seasons and score the later ones.
 
-    The prepared rows are read many times (fitting iterates), so they are stored
-    in the shared folder once.
+    The input is read many times (seasons, statistics, an iterating fit), so it is stored in
+    the shared folder once, by season: each split then reads its own folders.
     """
     run_id = run_id or str(uuid.uuid4())
-    split = stored(chrono_split(model_input(features)), "split")
+    data = stored(model_input(features), "features", "season")
+    require_rows(data, "feature table")
+    split = chrono_split(data)
     is_train = F.col("split") == "train"
     train_rows = split.filter(is_train)
     majority = dummy_prediction(train_rows)

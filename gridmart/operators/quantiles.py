@@ -1,14 +1,18 @@
 """Exact order statistics without putting a column into one task.
 
-Values are first counted (equal values collapse before the shuffle), then cut into
-buckets at approximate quantiles. Only bucket totals are ranked
-globally; each bucket is ordered by its own task.
+Fixed-size quantile sketches say roughly where a value lies; exact counting then only has to
+look near it. Equal values are combined before every shuffle, and what is ranked globally
+are the totals of a fixed number of buckets.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gridmart.session import stored
+
 BUCKETS = 256
 
 
@@ -26,24 +30,66 @@ def value_counts(df: DataFrame, columns: list[str], data_type: str) -> DataFrame
 def add_buckets(df: DataFrame, by: list[str], value: str, buckets: int = BUCKETS) -> DataFrame:
     """Add ``bucket``: all values of a bucket lie below those of the next one.
 
-    The limits come from a fixed-size quantile sketch over the distinct values of ``df``.
+    The limits come from a quantile sketch over the distinct values of ``df``. A row compares
+    itself with every k-th limit and then with the k limits in between.
     """
     steps = [i / buckets for i in range(1, buckets)]
     limits = F.percentile_approx(value, steps, 20 * buckets).alias("_limits")
     if by:
         cut = df.join(df.groupBy(*by).agg(limits), by)
-        place = F.filter("_limits", lambda x: x < F.col(value))
     else:
         cut = df.withColumn("_limits", df.agg(limits).scalar())
-        place = F.filter("_limits", lambda x: x < F.col(value))
-    return cut.withColumn("bucket", F.size(place)).drop("_limits")
+    stride = isqrt(buckets)
+    coarse = F.filter("_limits", lambda x, i: ((i + 1) % stride == 0) & (x < F.col(value)))
+    first = F.size(coarse) * stride
+    near = F.filter(F.slice("_limits", F.col("_first") + 1, stride), lambda x: x < F.col(value))
+    return (
+        cut.withColumn("_first", first)
+        .withColumn("bucket", F.col("_first") + F.size(near))
+        .drop("_limits", "_first")
+    )
+
 
+def _near_middle(df: DataFrame, columns: list[str], accuracy: int) -> DataFrame:
+    """``(column, value, n)`` of the values around each column's middle.
 
-def exact_medians(df: DataFrame, columns: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """``(column, median)``: the middle value, or the mean of the two middle ones."""
-    counts = add_buckets(value_counts(df, columns, "double"), ["column"], "value", buckets)
+    Values further off are counted under ``side`` -1 or 1 without a value, so only
+    about ``8 / accuracy`` of the rows keep theirs. The sketch is off by at most
+    ``1 / accuracy`` of the rows; the margin is four times that.
+    """
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    margin = 4.0 / accuracy
+    ends = [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)]
+    sketch = typed.agg(*[F.percentile_approx(c, ends, accuracy).alias(c) for c in columns])
+    limits = sketch.unpivot([], columns, "column", "ends").select(
+        "column", F.col("ends")[0].alias("lo"), F.col("ends")[1].alias("hi")
+    )
+    side = F.when(F.col("value") < F.col("lo"), -1).when(F.col("value") > F.col("hi"), 1)
+    return (
+        typed.unpivot([], columns, "column", "value")
+        .filter(F.col("value").isNotNull())
+        .join(F.broadcast(limits), "column")  # one row per column
+        .select("column", F.coalesce(side, F.lit(0)).alias("side"), "value")
+        .groupBy("column", "side", F.when(F.col("side") == 0, F.col("value")).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def exact_medians(
+    df: DataFrame, columns: list[str], buckets: int = BUCKETS, accuracy: int = 10000
+) -> DataFrame:
+    """``(column, median)``: the middle value, or the mean of the two middle ones.
+
+    The counts around the middle are stored: they are small, and several steps need them.
+    """
+    counts = stored(_near_middle(df, columns, accuracy), "near-middle")
+    middle = add_buckets(counts.filter("side = 0"), ["column"], "value", buckets)
+    far = counts.filter("side <> 0").withColumn(
+        "bucket", F.when(F.col("side") < 0, -1).otherwise(buckets)
+    )
+    counts = middle.unionByName(far)
     totals = counts.groupBy("column", "bucket").agg(F.sum("n").alias("size"))
-    # At most ``buckets`` rows per column from here.
+    # At most ``buckets`` + 2 rows per column from here.
     by_column = Window.partitionBy("column")
     running = by_column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
@@ -55,7 +101,7 @@ def exact_medians(df: DataFrame, columns: list[str], buckets: int = BUCKETS) ->
         .drop("size", "rows")
     )
     inside = Window.partitionBy("column", "bucket").orderBy("value")
-    ranked = counts.join(placed, ["column", "bucket"]).withColumn(
+    ranked = middle.join(placed, ["column", "bucket"]).withColumn(
         "upto", F.col("before") + F.sum("n").over(inside)
     )
     covers = {

@@ -60,7 +60,7 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut there.
 
     Unlike an RDD checkpoint the copy is columnar, so later passes read only
@@ -68,7 +68,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_work_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*[partition_by] if partition_by else []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -206,7 +206,7 @@ def test_model_input(spark, features):
     with pytest.raises(ValueError, match="missing expected columns: roof"):
         model_input(features.drop("roof"))
     with pytest.raises(ValueError, match="zero rows"):
-        model_input(features.limit(0))
+        train_job(features.limit(0))
     odd = features.limit(1).withColumn("wind", F.lit("calm")).withColumn("qtr", F.lit(math.nan))
     row = model_input(odd).first()
     assert row["wind"] is None and row["qtr"] is None
