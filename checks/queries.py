@@ -41,7 +41,7 @@ from gridmart.quality import (
 )
 from gridmart.session import new_work_path, stored, tune
 from gridmart.sinks.raw import read_raw, replace_by_source_file
-from gridmart.sources import build_manifest, flatten, landing_status, registry, year_range
+from gridmart.sources import build_manifest, flatten, landing_status, year_range
 from gridmart.sources.registry import DATASETS
 from gridmart.sources.staging import COLUMNS
 
@@ -182,7 +182,7 @@ def _order_years(spark, sf_dir):
 @query("manifest", _manifest_sql)
 def run_manifest(spark, sf_dir):
     """Files expected for the years the orders span."""
-    files = build_manifest(registry(spark), _order_years(spark, sf_dir))
+    files = build_manifest(_order_years(spark, sf_dir))
     return files.select("dataset", "year", "raw_table", "source_key")
 
 
@@ -215,7 +215,7 @@ def run_landing_status(spark, sf_dir):
     failures = orders.filter("o_orderstatus = 'F'").agg(
         key(roster, F.max(F.year("o_orderdate")))
     )
-    files = build_manifest(registry(spark), _order_years(spark, sf_dir))
+    files = build_manifest(_order_years(spark, sf_dir))
     return landing_status(files, landed, failures).select("dataset", "year", "source_key", "status")
 
 

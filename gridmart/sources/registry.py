@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,28 +45,35 @@ def year_range(spark: SparkSession, start: int = FIRST_SEASON, end: int | None =
     return spark.range(start, end + 1).select(F.col("id").cast("int").alias("year"))
 
 
-def build_manifest(datasets: DataFrame, years: DataFrame, table: str = "all") -> DataFrame:
+def build_manifest(years: DataFrame, table: str = "all") -> DataFrame:
     """One row per expected file: dataset x year, or one row with no year for single files.
 
-    ``years`` is a frame with a distinct ``year`` column. The registry is six rows, so
-    attaching it to every year is a small broadcast product and not a data join.
+    ``years`` is a frame with a distinct ``year`` column. Each year is expanded in place by the
+    handful of yearly datasets; no join is involved.
     """
     names = [row[0] for row in DATASETS]
-    if table != "all":
-        if table not in names:
-            raise ValueError(f"unknown dataset {table!r}; expected one of {names} or 'all'")
-        datasets = datasets.filter(F.col("dataset") == table)
-    yearly = datasets.filter(~F.col("single_file")).withColumn("_on", F.lit(1))
-    per_year = years.select(F.col("year").cast("int"), F.lit(1).alias("_on")).join(
-        F.broadcast(yearly), "_on"
-    )
-    single = datasets.filter("single_file").withColumn("year", F.lit(None).cast("int"))
+    if table != "all" and table not in names:
+        raise ValueError(f"unknown dataset {table!r}; expected one of {names} or 'all'")
+    chosen = [row for row in DATASETS if table in ("all", row[0])]
+    yearly = [_entry(row) for row in chosen if not row[-1]]
+    single = [row for row in chosen if row[-1]]
+    year = F.col("year").cast("int").alias("year")
+    parts = []
+    if yearly:
+        parts.append(years.select(year, F.inline(F.array(*yearly))))
+    if single:
+        fixed = years.sparkSession.createDataFrame(single, REGISTRY_SCHEMA)
+        parts.append(fixed.withColumn("year", F.lit(None).cast("int")).drop("single_file"))
     stem = F.concat_ws("_", "file_stem", F.col("year").cast("string"))
     file_name = F.concat(stem, F.lit(".parquet"))
     return (
-        per_year.drop("_on")
-        .unionByName(single)
+        reduce(DataFrame.unionByName, parts)
         .withColumn("source_path", F.concat_ws("/", "release", file_name))
         .withColumn("source_key", F.concat_ws("/", "prefix", file_name))
         .select(*MANIFEST)
     )
+
+
+def _entry(row: tuple):
+    fields = ["dataset", "file_stem", "release", "prefix", "raw_table"]
+    return F.struct(*[F.lit(value).alias(name) for name, value in zip(fields, row)])

@@ -16,7 +16,6 @@ from gridmart.sources import (
     read_columns,
     read_seed,
     record_schema,
-    registry,
     require_no_failures,
     scan_with_provenance,
     stage,
@@ -27,7 +26,7 @@ from gridmart.sources.staging import COLUMNS
 
 def manifest(spark, table, years):
     frame = spark.createDataFrame([(y,) for y in years], "year int")
-    return build_manifest(registry(spark), frame, table).collect()
+    return build_manifest(frame, table).collect()
 
 
 def test_all_datasets_over_two_years(spark):
@@ -75,7 +74,7 @@ def landed(spark, tmp_path):
 
 
 def status_of(spark, root, failures=None):
-    files = build_manifest(registry(spark), year_range(spark, 2023, 2025))
+    files = build_manifest(year_range(spark, 2023, 2025))
     wanted = files.filter(F.col("dataset").isin("pbp", "teams"))
     return landing_status(wanted, list_landed(spark, root), failures)
 
@@ -136,7 +135,7 @@ def test_load_and_reload(spark, landed, tmp_path):
 
 
 def test_nothing_uploaded_loads_nothing(spark, tmp_path):
-    empty = build_manifest(registry(spark), year_range(spark, 2023, 2023)).withColumn(
+    empty = build_manifest(year_range(spark, 2023, 2023)).withColumn(
         "status", F.lit("missing")
     )
     assert load_landed(spark, empty, str(tmp_path), str(tmp_path / "raw")) == {}
