@@ -1,4 +1,4 @@
-from gridmart.operators.codes import normalize_codes  # noqa: F401
+from gridmart.operators.codes import normalize_codes, small_side  # noqa: F401
 from gridmart.operators.members import add_missing_members, without_parent  # noqa: F401
 from gridmart.operators.picks import (  # noqa: F401
     latest_per_key,

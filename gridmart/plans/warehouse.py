@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from gridmart.operators import small_side
 from gridmart.plans import dimensions, features, plays
 from gridmart.sinks.marts import save_mart
 
@@ -49,13 +50,18 @@ class Warehouse:
         seed = self.sources["map_team_code_seed"]
         return self._keep("dim_team_code", dimensions.dim_team_code(seed, self.dim_franchise))
 
+    @cached_property
+    def team_codes(self) -> DataFrame:
+        """The code dimension as a join side: broadcast, once its size is known to allow it."""
+        return small_side(self.dim_team_code)
+
     @cached_property
     def game_base(self) -> DataFrame:
-        return dimensions.game_base(self.sources["stg_games"], self.dim_team_code)
+        return dimensions.game_base(self.sources["stg_games"], self.team_codes)
 
     @cached_property
     def play_base(self) -> DataFrame:
-        return plays.play_base(self.sources["stg_play_by_play"], self.dim_team_code)
+        return plays.play_base(self.sources["stg_play_by_play"], self.team_codes)
 
     @cached_property
     def dim_game(self) -> DataFrame:
@@ -77,7 +83,7 @@ class Warehouse:
     def dim_player_season(self) -> DataFrame:
         rosters = self.sources["stg_roster_weekly"]
         return self._keep(
-            "dim_player_season", dimensions.dim_player_season(rosters, self.dim_team_code)
+            "dim_player_season", dimensions.dim_player_season(rosters, self.team_codes)
         )
 
     @cached_property
