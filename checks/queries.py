@@ -59,8 +59,18 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(adapter.sources(tune(spark), sf_dir))
+_CODED = ["posteam", "defteam"]
+_PLAY = [c for c in C.FCT_PLAY if c in C.play_inputs()] + _CODED
+# Play columns that a table needs; those not listed get all.
+PLAY_COLUMNS = {
+    **dict.fromkeys(["fct_play", "fct_game", "fct_player_game", "dim_player"], _PLAY),
+    "dim_player_season": _PLAY,
+    "fct_drive": _PLAY + C.DRIVE_INPUTS,
+}
+
+
+def warehouse(spark: SparkSession, sf_dir: str, table: str | None = None) -> Warehouse:
+    return Warehouse(adapter.sources(tune(spark), sf_dir, PLAY_COLUMNS.get(table)))
 
 
 # --- staged tables -------------------------------------------------------------------------
@@ -112,7 +122,7 @@ def _mart(name: str):
 
     @query(name, model(name, columns, digits))
     def run(spark, sf_dir):
-        return _rounded(warehouse(spark, sf_dir).table(name), digits)
+        return _rounded(warehouse(spark, sf_dir, name).table(name), digits)
 
 
 for _name in MARTS:
@@ -148,7 +158,7 @@ def run_dim_date(spark, sf_dir):
 def _contract(name: str):
     @query(f"check_{name}", contract(name))
     def run(spark, sf_dir):
-        return check_model(warehouse(spark, sf_dir).table, name)
+        return check_model(warehouse(spark, sf_dir, name).table, name)
 
 
 for _name in CONTRACTS:
