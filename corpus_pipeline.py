@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import decontaminate, langid
+from gridmart.llm import decontaminate, langid, packing
 from gridmart.llm.tables import documents, keep, read_table
 
 
@@ -18,9 +19,15 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of what is left, with its place in sequences of 2048 tokens."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("language", language),
     ("leaks", leaks),
+    ("sequences", sequences),
 ]
 
 #: zstandard and tokenizers are not at hand in SQL; the stages are tested against brute force.

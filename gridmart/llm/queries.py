@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import decontaminate, langid, licenses, quality
+import gridmart
+from gridmart.llm import decontaminate, langid, licenses, packing, quality, simple8b
 from gridmart.llm.tables import documents, read_table
+from gridmart.session import new_work_path
 
 #: At most so many rows and bytes of a table are in a Python worker at once.
 BATCH = {
@@ -14,12 +19,29 @@ BATCH = {
 }
 
 
-def _texts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Bounded batches; workers find this package where it lies (on a cluster: installed there)."""
     for key, value in BATCH.items():
         spark.conf.set(key, value)
+    root = str(Path(gridmart.__file__).resolve().parents[1])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
+def _texts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    prepare(spark)
     return documents(spark, sf_dir).select("doc_id", "text", *more)
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_work_path(spark, "token-files")
+    simple8b.write(_texts(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return simple8b.read(spark, path).drop("ids")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_texts(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
     return quality.digest(quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels"))))
@@ -40,6 +62,8 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op3_packing": op3_packing,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
