@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import decontaminate, langid, packing
+from gridmart.llm import decontaminate, langid, packing, substrings
 from gridmart.llm.tables import documents, keep, read_table
 
 
@@ -14,6 +14,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs)
 
 
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 50 words or more that an earlier one has."""
+    return substrings.shortened(docs)
+
+
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of ten words of a benchmark item occurs."""
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
@@ -26,6 +31,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", language),
+    ("passages", passages),
     ("leaks", leaks),
     ("sequences", sequences),
 ]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import gridmart
-from gridmart.llm import decontaminate, langid, licenses, packing, quality, simple8b
+from gridmart.llm import decontaminate, langid, licenses, packing, quality, simple8b, substrings
 from gridmart.llm.tables import documents, read_table
 from gridmart.session import new_work_path
 
@@ -42,6 +42,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_texts(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(_texts(spark, sf_dir), texts=False))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
     return quality.digest(quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels"))))
@@ -64,6 +68,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_packing": op3_packing,
+    "op4_substrings": op4_substrings,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
@@ -73,6 +78,26 @@ QUERIES = {
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op4_substrings": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), v AS (
+    SELECT doc_id, i, w[i:i + 49] AS words
+    FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), f AS (
+    SELECT words, min(doc_id) AS earliest FROM v GROUP BY words HAVING min(doc_id) < max(doc_id)
+), gone AS (
+    SELECT doc_id, list(DISTINCT place) AS places
+    FROM (SELECT doc_id, unnest(range(i, i + 50)) AS place
+          FROM v JOIN f USING (words) WHERE doc_id > earliest)
+    GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(
+           CASE WHEN places IS NULL THEN w
+                ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+""",
     "op9_decontaminate": rf"""
 WITH d AS (
     SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
