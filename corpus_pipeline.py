@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import decontaminate, langid, packing, substrings
+from gridmart.llm import decontaminate, langid, near_duplicates, packing, substrings
 from gridmart.llm.tables import documents, keep, read_table
 
 
@@ -14,6 +14,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs)
 
 
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates."""
+    return near_duplicates.one_of_each(docs)
+
+
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the passages of 50 words or more that an earlier one has."""
     return substrings.shortened(docs)
@@ -31,6 +36,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", language),
+    ("copies", copies),
     ("passages", passages),
     ("leaks", leaks),
     ("sequences", sequences),

@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import gridmart
-from gridmart.llm import decontaminate, langid, licenses, packing, quality, simple8b, substrings
+from gridmart.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    near_duplicates,
+    packing,
+    quality,
+    simple8b,
+    substrings,
+)
 from gridmart.llm.tables import documents, read_table
 from gridmart.session import new_work_path
 
@@ -46,6 +55,10 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(_texts(spark, sf_dir), texts=False))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_texts(spark, sf_dir), shingle=4).drop("class_id")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _texts(spark, sf_dir)
     return quality.digest(quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels"))))
@@ -69,6 +82,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_packing": op3_packing,
     "op4_substrings": op4_substrings,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
@@ -97,6 +111,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0)
            CASE WHEN places IS NULL THEN w
                 ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id)
+""",
+    "op6_near_duplicates": rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, w[i:i + 3] AS shingle
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), both AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM both JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+    WHERE 100 * common >= 80 * (x.n + y.n - common)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM d
+    UNION
+    SELECT reach.doc_id, b FROM reach JOIN links ON other = a
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """,
     "op9_decontaminate": rf"""
 WITH d AS (
