@@ -162,11 +162,11 @@ WITH RECURSIVE d AS (
     FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
 ), n AS (
     SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
-), both AS (
+), pairs AS (
     SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
     FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
 ), links AS (
-    SELECT a, b FROM both JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+    SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
     WHERE 100 * common >= 80 * (x.n + y.n - common)
 ), reach AS (
     SELECT doc_id, doc_id AS other FROM d
