@@ -16,13 +16,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
 
-MEMO = 500_000
+MEMO = 1_000_000
 PLAIN = "ɐ"
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
@@ -35,6 +36,10 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: Marks that are a piece of their own after letters.
+_MARKS = frozenset(".,;:!?)\"")
+
+
 class _Odd(Exception):
     """A chunk that begins or ends with white space, so the text needs careful cutting."""
 
@@ -61,9 +66,10 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             self._read_kind(json.load(file))
         self.translation = _byte_characters()
+        self.shown_lead = {"": "", " ": self.translation[ord(" ")]}
         self.model = self.tokenizer.model
         self.pieces = _Memo(self._piece)
-        self.first = _Memo(self._chunk)
+        self.first = _Memo(self._first)
         self.later = _Memo(self._later)
 
     def _read_kind(self, spec: dict) -> None:
@@ -85,7 +91,9 @@ class Encoder:
         self.pattern = regex.compile(pattern)
 
     def _piece(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin-1").translate(self.translation)
+        return self._ids(piece.encode().decode("latin-1").translate(self.translation))
+
+    def _ids(self, shown: str) -> bytes:
         return _pack([t.id for t in self.model.tokenize(shown)])
 
     def _chunk(self, chunk: str) -> bytes:
@@ -94,11 +102,44 @@ class Encoder:
             return b"".join([self.pieces[p] for p in self.pattern.findall(text)])
         return _pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
+    def _word(self, word: str, lead: str) -> bytes | None:
+        """Ids of letters alone, which are one piece; None for others."""
+        text = word.lower() if self.lower else word
+        if not text.isalpha():
+            return None
+        if text.isascii():  # these bytes stand for themselves
+            return self._ids(self.shown_lead[lead] + text)
+        return self._piece(lead + text) if max(text) < PLAIN else None
+
+    def _marked(self, chunk: str, memo: _Memo) -> bytes | None:
+        """Ids of letters and one mark after them, two pieces; None for others."""
+        if chunk[-1:] not in _MARKS:
+            return None
+        word = chunk[:-1]
+        plain = word.isascii() or max(word) < PLAIN
+        if not plain or not (word.lower() if self.lower else word).isalpha():
+            return None
+        return memo[word] + self.pieces[chunk[-1]]
+
+    def _first(self, chunk: str) -> bytes:
+        """A chunk with nothing before it."""
+        found = self._word(chunk, "")
+        if found is None:
+            found = self._marked(chunk, self.first)
+        return self._chunk(chunk) if found is None else found
+
     def _later(self, chunk: str) -> bytes:
         """A chunk after a space, or after a line feed (then it begins with that)."""
+        found = self._word(chunk, " ")
+        if found is None:
+            found = self._marked(chunk, self.later)
+        if found is not None:
+            return found
         if not chunk or chunk[-1].isspace() or chunk[0] != "\n" and chunk[0].isspace():
             raise _Odd
-        return self._chunk(chunk if chunk[0] == "\n" else " " + chunk)
+        if chunk[0] == "\n":
+            return self.pieces["\n"] + self.first[chunk[1:]] if chunk[1].isalpha() else self._chunk(chunk)
+        return self._chunk(" " + chunk)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -116,7 +157,7 @@ class Encoder:
 
 
 def _pack(ids: list[int]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _encoders: dict[str, Encoder] = {}
