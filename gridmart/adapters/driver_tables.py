@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridmart.plans.columns import play_inputs
-from gridmart.session import spread
 from gridmart.sources.staging import GAMES, PLAYER_STATS, ROSTERS, TEAM_WEEK, TEAMS, stage
 
 # 25 nations are known codes; the 26th code (N25) is in no seed.
@@ -267,15 +266,14 @@ class Sources(dict):
         if name == "dim_franchise_seed":
             return _franchises(self._read("nation"))
         if name == "stg_play_by_play":
-            lines = spread(self._read("lineitem"))
-            raw = _plays(lines, self.play_columns or play_inputs())
+            raw = _plays(self._read("lineitem"), self.play_columns or play_inputs())
             return stage(raw, name, self.play_columns)
         elif name == "stg_games":
-            raw = spread(self._read("orders")).selectExpr(*_select(game_expressions()))
+            raw = self._read("orders").selectExpr(*_select(game_expressions()))
         elif name == "stg_roster_weekly":
-            raw = spread(self._read("events")).selectExpr(*_select(roster_expressions()))
+            raw = self._read("events").selectExpr(*_select(roster_expressions()))
         else:
-            raw = spread(self._read(PLAIN[name][0])).selectExpr(*_select(plain_expressions(name)))
+            raw = self._read(PLAIN[name][0]).selectExpr(*_select(plain_expressions(name)))
         return stage(raw, name)
 
     def _read(self, table: str) -> DataFrame:

@@ -106,9 +106,14 @@ def evaluate(
     predicted: str = "predicted",
     score: str = "probability",
     by: list[str] = ("model_name", "split_name"),
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """All metrics of every (model, split) in ``scored``, one row each."""
+    """All metrics of every (model, split) in ``scored``, one row each.
+
+    ``buckets`` is the number of ranges the scores of a group are ranked in; choose it so that a
+    bucket of distinct scores fits a task.
+    """
     by = list(by)
     return binary_metrics(scored, actual, predicted, by).join(
-        roc_auc(scored, actual, score, by), by, "left"
+        roc_auc(scored, actual, score, by, buckets), by, "left"
     )

@@ -34,6 +34,9 @@ def fit_preprocess(train: DataFrame, numeric: list[str], categorical: list[str])
         *[F.stddev_pop(v).alias(f"std_{c}") for c, v in filled.items()],
     ).first()
     frequent = {r["column"]: r["mode"] for r in modes(train, categorical).collect()}
+    empty = [c for c in categorical if c not in frequent]
+    if empty:
+        raise ValueError(f"no training value in: {', '.join(empty)}")
     return Preprocess(
         medians=medians,
         means={c: stats[f"mean_{c}"] for c in numeric},
@@ -62,6 +65,8 @@ def apply_preprocess(df: DataFrame, fitted: Preprocess) -> DataFrame:
 def encoder(numeric: list[str], categorical: list[str], output: str = "features") -> Pipeline:
     """Indicators for the categories seen in training and one vector of all ready columns.
 
+    The categories of a column travel through the driver: meant for codes, not for ids.
+
     Categories not seen in training get the extra index, which is the dropped
     last one: all their indicators are zero.
     """

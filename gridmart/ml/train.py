@@ -58,14 +58,17 @@ def fit_logistic(train: DataFrame, target: str = spec.TARGET):
     ).fit(train)
 
 
-def train(features: DataFrame, run_id: str | None = None) -> Run:
+def train(features: DataFrame, run_id: str | None = None, copy: bool = True) -> Run:
     """Fit both models on the training seasons and score the later ones.
 
     The input is read many times (seasons, statistics, an iterating fit), so it is stored in
-    the shared folder once, by season: each split then reads its own folders.
+    the shared folder once, by season: each split then reads its own folders. A feature table that is
+    already stored by season needs no ``copy``.
     """
     run_id = run_id or str(uuid.uuid4())
-    data = stored(model_input(features), "features", "season")
+    data = model_input(features)
+    if copy:
+        data = stored(data, "features", "season")
     require_rows(data, "feature table")
     split = chrono_split(data)
     is_train = F.col("split") == "train"
@@ -114,9 +117,11 @@ def train(features: DataFrame, run_id: str | None = None) -> Run:
     return Run(run_id, metrics, predictions)
 
 
-def train_job(features: DataFrame, database: str | None = None) -> dict[str, AppendResult]:
+def train_job(
+    features: DataFrame, database: str | None = None, copy: bool = True
+) -> dict[str, AppendResult]:
     """Train and append metrics and predictions to the (existing) result tables."""
-    run = train(features)
+    run = train(features, copy=copy)
     prefix = f"{database}." if database else ""
     return {
         table: append_result(df, prefix + table, run.run_id)

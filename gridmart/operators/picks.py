@@ -19,11 +19,29 @@ def latest_per_key(
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def pick_order(desc: list[str], asc: list[str]) -> Column:
-    """Sort key for ``min_by``: numbers descending, then columns ascending, NULLs last in both."""
+def _descending(df: DataFrame, name: str) -> Column:
+    """A number that falls as the column rises."""
+    kind = df.schema[name].dataType.typeName()
+    column = F.col(name)
+    if kind == "date":
+        column = F.unix_date(column)
+    elif kind == "timestamp":
+        column = F.unix_micros(column)
+    elif kind == "timestamp_ntz":
+        column = F.unix_micros(F.to_utc_timestamp(column, "UTC"))
+    elif kind == "boolean":
+        column = column.cast("int")
+    elif kind in ("string", "binary", "array", "map", "struct", "variant"):
+        raise TypeError(f"{name} ({kind}) can't be ranked descending: a number or a time is needed")
+    return -column
+
+
+def pick_order(df: DataFrame, desc: list[str], asc: list[str]) -> Column:
+    """Sort key for ``min_by``: numbers, dates or timestamps descending, then columns ascending,
+    NULLs last in both."""
     parts = []
     for name in desc:
-        parts += [F.col(name).isNull(), -F.col(name)]
+        parts += [F.col(name).isNull(), _descending(df, name)]
     for name in asc:
         parts += [F.col(name).isNull(), F.col(name)]
     return F.struct(*[part.alias(f"o{i}") for i, part in enumerate(parts)])
@@ -46,7 +64,7 @@ def primary_by_count(
         (F.count(F.lit(1)) if count is None else count).alias("candidate_count"),
         *[c.alias(name) for name, c in then_desc.items()],
     )
-    order = pick_order(["candidate_count", *then_desc], [candidate])
+    order = pick_order(counted, ["candidate_count", *then_desc], [candidate])
     kept = ["candidate_count", *then_desc]
     best = F.min_by(F.struct(candidate, *kept), order)
     return counted.groupBy(*keys).agg(best.alias("_best")).select(

@@ -11,6 +11,7 @@ from math import isqrt
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gridmart.operators.codes import small_side
 from gridmart.session import stored
 
 BUCKETS = 256
@@ -30,13 +31,15 @@ def value_counts(df: DataFrame, columns: list[str], data_type: str) -> DataFrame
 def add_buckets(df: DataFrame, by: list[str], value: str, buckets: int = BUCKETS) -> DataFrame:
     """Add ``bucket``: all values of a bucket lie below those of the next one.
 
-    The limits come from a quantile sketch over the distinct values of ``df``. A row compares
-    itself with every k-th limit and then with the k limits in between.
+    The limits come from a quantile sketch over the distinct values of ``df``, one row per group
+    of ``by``; they are stored and, up to the bound of ``small_side``, broadcast, so that rows are not
+    moved to their group. A row compares itself with every k-th limit and then with the k limits in between.
     """
     steps = [i / buckets for i in range(1, buckets)]
     limits = F.percentile_approx(value, steps, 20 * buckets).alias("_limits")
     if by:
-        cut = df.join(df.groupBy(*by).agg(limits), by)
+        found = stored(df.groupBy(*by).agg(limits), "limits")
+        cut = df.join(small_side(found), by)
     else:
         cut = df.withColumn("_limits", df.agg(limits).scalar())
     stride = isqrt(buckets)
@@ -50,15 +53,13 @@ def add_buckets(df: DataFrame, by: list[str], value: str, buckets: int = BUCKETS
     )
 
 
-def _near_middle(df: DataFrame, columns: list[str], accuracy: int) -> DataFrame:
-    """``(column, value, n)`` of the values around each column's middle.
+def _near_middle(df: DataFrame, columns: list[str], accuracy: int, margin: float) -> DataFrame:
+    """``(column, side, value, n)`` of the values around each column's middle.
 
-    Values further off are counted under ``side`` -1 or 1 without a value, so only
-    about ``8 / accuracy`` of the rows keep theirs. The sketch is off by at most
-    ``1 / accuracy`` of the rows; the margin is four times that.
+    Values further off than ``margin`` (a share of the rows) are counted under ``side`` -1 or 1
+    without a value, so only about twice that share of the rows keep theirs.
     """
     typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    margin = 4.0 / accuracy
     ends = [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)]
     sketch = typed.agg(*[F.percentile_approx(c, ends, accuracy).alias(c) for c in columns])
     limits = sketch.unpivot([], columns, "column", "ends").select(
@@ -75,14 +76,36 @@ def _near_middle(df: DataFrame, columns: list[str], accuracy: int) -> DataFrame:
     )
 
 
+def _missed(counts: DataFrame) -> list[str]:
+    """Columns whose middle ranks are not among the values that were kept."""
+    sides = counts.groupBy("column").agg(
+        F.sum(F.when(F.col("side") < 0, F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("side") > 0, F.col("n")).otherwise(0)).alias("above"),
+        F.sum("n").alias("rows"),
+    )
+    outside = "(rows - 1) div 2 < below OR rows div 2 >= rows - above"
+    return [r["column"] for r in sides.filter(outside).select("column").collect()]
+
+
 def exact_medians(
-    df: DataFrame, columns: list[str], buckets: int = BUCKETS, accuracy: int = 10000
+    df: DataFrame,
+    columns: list[str],
+    buckets: int = BUCKETS,
+    accuracy: int = 10000,
+    margin: float | None = None,
 ) -> DataFrame:
     """``(column, median)``: the middle value, or the mean of the two middle ones.
 
-    The counts around the middle are stored: they are small, and several steps need them.
+    The counts around the middle are stored: they are small, and several steps need them. The sketch is
+    off by ``1 / accuracy`` of the rows at most and the margin is four times that; should a
+    middle rank lie outside all the same, the column is counted again with a margin eight times as wide.
     """
-    counts = stored(_near_middle(df, columns, accuracy), "near-middle")
+    margin = 4.0 / accuracy if margin is None else margin
+    counts = stored(_near_middle(df, columns, accuracy, margin), "near-middle")
+    while missed := _missed(counts):
+        margin = min(max(8 * margin, 4.0 / accuracy), 1.0)
+        again = stored(_near_middle(df, missed, accuracy, margin), "near-middle")
+        counts = counts.filter(~F.col("column").isin(missed)).unionByName(again)
     middle = add_buckets(counts.filter("side = 0"), ["column"], "value", buckets)
     far = counts.filter("side <> 0").withColumn(
         "bucket", F.when(F.col("side") < 0, -1).otherwise(buckets)
@@ -101,7 +124,8 @@ def exact_medians(
         .drop("size", "rows")
     )
     inside = Window.partitionBy("column", "bucket").orderBy("value")
-    ranked = middle.join(placed, ["column", "bucket"]).withColumn(
+    # Two rows per column at most.
+    ranked = middle.join(F.broadcast(placed), ["column", "bucket"]).withColumn(
         "upto", F.col("before") + F.sum("n").over(inside)
     )
     covers = {

@@ -8,9 +8,9 @@ from gridmart.operators import (
     add_missing_members,
     latest_per_key,
     normalize_codes,
-    primary_by_count,
     unpivot_roles,
 )
+from gridmart.operators.picks import pick_order
 from gridmart.plans import columns as C
 
 # First and last day of the calendar.
@@ -108,15 +108,26 @@ def dim_player_season(rosters: DataFrame, team_codes: DataFrame) -> DataFrame:
         "club",
         "inner",
     ).select(*key, "week", F.col("club_franchise_id").alias("franchise_id"), *attributes)
-    # Weeks are made distinct by a grouping of their own, so equal rows collapse before
-    # the shuffle; counting them afterwards is a plain count.
-    weeks = mapped.select(*key, "franchise_id", "week").distinct()
-    primary = primary_by_count(
-        weeks, key, "franchise_id", F.count("week"), {"last_week": F.max("week")}
+    # Three groupings, each combined before its shuffle: distinct weeks, franchises, players.
+    best = {c: F.col(f"best.{c}").alias(c) for c in attributes}
+    weeks = mapped.groupBy(*key, "franchise_id", "week").agg(
+        F.min_by(F.struct(*attributes), pick_order(mapped, [], attributes)).alias("best")
     )
-    latest = latest_per_key(mapped, key, ["week"], ["franchise_id", *attributes])
+    weeks = weeks.select(*key, "franchise_id", "week", *best.values())
+    clubs = weeks.groupBy(*key, "franchise_id").agg(
+        F.count("week").alias("weeks"),
+        F.max("week").alias("last_week"),
+        F.min_by(F.struct(*attributes), pick_order(weeks, ["week"], attributes)).alias("best"),
+    )
+    clubs = clubs.select(*key, "franchise_id", "weeks", "last_week", *best.values())
+    most = pick_order(clubs, ["weeks", "last_week"], ["franchise_id"])
+    latest = pick_order(clubs, ["last_week"], ["franchise_id", *attributes])
     return (
-        latest.drop("franchise_id", "week")
-        .join(primary.select(*key, "franchise_id"), key)
+        clubs.groupBy(*key)
+        .agg(
+            F.min_by("franchise_id", most).alias("franchise_id"),
+            F.min_by(F.struct(*attributes), latest).alias("best"),
+        )
+        .select(*key, "franchise_id", *best.values())
         .select(*C.DIM_PLAYER_SEASON)
     )

@@ -175,9 +175,9 @@ def fct_player_game(plays: DataFrame, games: DataFrame) -> DataFrame:
     per_player = per_franchise.groupBy(*key).agg(
         F.max("season").alias("season"),
         F.max("nfl_week").alias("nfl_week"),
-        F.min_by("franchise_id", pick_order(["play_count"], ["franchise_id"])).alias(
-            "franchise_id"
-        ),
+        F.min_by(
+            "franchise_id", pick_order(per_franchise, ["play_count"], ["franchise_id"])
+        ).alias("franchise_id"),
         *[F.sum(c).alias(c) for c in ["play_count", "no_play_count", *counts, "epa_sum"]],
     )
     sides = games.select("game_id", "home_franchise_id", "away_franchise_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,8 +17,6 @@ SETTINGS = {
     # Projections of a hundred columns compile to methods the JVM refuses to optimise (over 8000
     # bytes); below this limit Spark uses its split-up projection instead, ten times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Raw loads replace whole source files, so only touched partitions may be overwritten.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -40,16 +39,20 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 _local_folders: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
     """Folder shared by all executors: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary one is used.
+    Where none is set, a session whose executors run inside the driver gets a temporary one;
+    on a cluster that is an error, as executors would write to their own disks.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = _local_folders.setdefault(
             context.applicationId, tempfile.mkdtemp(prefix="gridmart-")
         )
@@ -57,29 +60,35 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:
-    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut there.
 
     Unlike an RDD checkpoint the copy is columnar, so later passes read only
-    the columns they need, and it outlives lost executors.
+    the columns they need, and it outlives lost executors. With ``partition_by`` rows are rebalanced
+    first, so that a folder gets a few files of good size and not one from every task.
     """
     spark = df.sparkSession
     path = new_work_path(spark, label)
-    df.write.partitionBy(*[partition_by] if partition_by else []).parquet(path)
+    if partition_by:
+        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, small_bytes: int = 256 * 1024 * 1024) -> DataFrame:
-    """Even out a small input that comes in fewer splits than there are cores.
+def release(spark: SparkSession) -> int:
+    """Delete what this application has written by ``stored`` and ``new_work_path``.
 
-    A file of one row group is one task however many cores are idle. Inputs over ``small_bytes``
-    (by the optimizer's size estimate) have splits enough and are left as they are.
+    For the end of a job: frames that read these folders fail afterwards. Returns their number.
     """
-    spark = df.sparkSession
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    if stats.sizeInBytes() > small_bytes:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+    paths = _made.pop(context.applicationId, [])
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)

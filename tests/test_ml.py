@@ -50,6 +50,15 @@ def test_medians_match_brute_force(spark, buckets):
         assert got[name] == median([r[i] for r in rows if r[i] is not None]), name
 
 
+def test_a_bracket_beside_the_middle_is_widened(spark):
+    rng = random.Random(1)
+    rows = [(rng.gauss(0, 5), rng.expovariate(1), 7.0) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = exact_medians(df, ["a", "b", "c"], accuracy=2, margin=0.0).collect()
+    expected = {c: median(r[i] for r in rows) for i, c in enumerate("abc")}
+    assert {r["column"]: r["median"] for r in got} == expected
+
+
 def test_modes_break_ties_downwards(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("b", 2), ("a", None), (None, None)], "x string, y int")
     got = {r["column"]: r["mode"] for r in modes(df, ["x", "y"]).collect()}
@@ -139,6 +148,12 @@ def newton(x, y, steps=50):
     return w
 
 
+def test_a_category_without_values_is_an_error(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "n double, c string")
+    with pytest.raises(ValueError, match="no training value in: c"):
+        fit_preprocess(df, ["n"], ["c"])
+
+
 def test_logistic_fit_matches_newton(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 3))

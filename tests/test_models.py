@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures as fx
+from gridmart.operators import primary_by_count
 from gridmart.plans import columns as C
 from gridmart.plans import plays as P
 from gridmart.plans.warehouse import TABLES, Warehouse
@@ -269,3 +270,20 @@ def test_stored_tables_equal_lazy_ones(warehouse):
             map(str, lazy.table(name).collect())
         )
     assert any(Path(warehouse.out, "fct_play").glob("season=2020"))
+
+
+def test_primary_ties_fall_to_later_dates(spark):
+    rows = [
+        ("k", "a", "2020-01-01"),
+        ("k", "b", "2020-03-01"),
+        ("k", "c", None),
+        ("m", "y", "2020-01-02"),
+        ("m", "x", "2020-01-02"),
+    ]
+    df = spark.createDataFrame(rows, "k string, c string, day string")
+    for kind in ("date", "timestamp"):
+        days = df.withColumn("day", F.col("day").cast(kind))
+        got = primary_by_count(days, ["k"], "c", then_desc={"last": F.max("day")}).collect()
+        assert {r["k"]: r["c"] for r in got} == {"k": "b", "m": "x"}
+    with pytest.raises(TypeError, match="last"):
+        primary_by_count(df, ["k"], "c", then_desc={"last": F.max("day")})
