@@ -15,7 +15,7 @@ from gridmart.ml import spec
 from gridmart.ml.metrics import binary_metrics, evaluate, metrics_long, roc_auc
 from gridmart.ml.preprocess import apply_preprocess, fit_preprocess
 from gridmart.ml.split import chrono_split, model_input
-from gridmart.ml.train import dummy_prediction, train
+from gridmart.ml.train import dummy_prediction, fit, penalised_gradient, train
 from gridmart.operators import (
     add_missing_members,
     conditional_rollup,
@@ -648,14 +648,79 @@ def run_metrics_long(spark, sf_dir):
     return _rounded(metrics_long(wide, ["lang"]), {"metric_value": 6})
 
 
-@query("model_metrics")
+_dummy_sql = {
+    "parted": _split_sql,
+    "guess": """SELECT is_successful_play AS g FROM parted WHERE split = 'train'
+      GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1""",
+    "cells": """SELECT count(*) FILTER (WHERE y = 0 AND g = 0) AS tn,
+      count(*) FILTER (WHERE y = 0 AND g = 1) AS fp, count(*) FILTER (WHERE y = 1 AND g = 0) AS fn,
+      count(*) FILTER (WHERE y = 1 AND g = 1) AS tp
+      FROM (SELECT is_successful_play AS y, g FROM parted CROSS JOIN guess WHERE split = 'validation')""",
+    "wide": """SELECT CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS accuracy,
+      CASE WHEN tp + fp = 0 THEN 0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+      CASE WHEN tp + fn = 0 THEN 0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall,
+      CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END AS f1,
+      CASE WHEN tp + fn > 0 AND tn + fp > 0 THEN 0.5 END AS roc_auc,
+      concat('[[', tn, ', ', fp, '], [', fn, ', ', tp, ']]') AS confusion_matrix FROM cells""",
+}
+
+
+@query(
+    "model_metrics",
+    with_tables(
+        " UNION ALL ".join(
+            f"SELECT 'bench' AS run_id, '{spec.DUMMY}' AS model_name, 'validation' AS split_name, "
+            f"'{c}' AS metric_name, CAST(round({c}, 6) AS DOUBLE) AS metric_value, "
+            "CAST(NULL AS STRING) AS metric_text FROM wide"
+            for c in [*RATES, "roc_auc"]
+        )
+        + f" UNION ALL SELECT 'bench', '{spec.DUMMY}', 'validation', 'confusion_matrix', NULL, "
+        "confusion_matrix FROM wide",
+        _dummy_sql,
+    ),
+)
 def run_model_metrics(spark, sf_dir):
-    """Both models trained on the feature table; an iterative fit has no SQL twin."""
+    """Metrics of a training run. Those of the majority model have an SQL twin; model_fit proves the other."""
     run = train(warehouse(spark, sf_dir).table("ml_play_success_features"), run_id="bench")
-    return run.metrics
+    return _rounded(run.metrics.filter(F.col("model_name") == spec.DUMMY), {"metric_value": 6})
 
 
-@query("model_predictions")
+@query(
+    "model_predictions",
+    with_tables(
+        f"SELECT 'bench' AS run_id, '{spec.LOGISTIC}' AS model_name, 'test' AS split_name, "
+        "CAST(game_id AS STRING) AS game_id, CAST(play_id AS BIGINT) AS play_id, "
+        "CAST(season AS BIGINT) AS season, "
+        "CAST(is_successful_play AS BIGINT) AS actual_is_successful_play FROM parted WHERE split = 'test'",
+        {"parted": _split_sql},
+    ),
+)
 def run_model_predictions(spark, sf_dir):
+    """Rows of the prediction table; what an iterative fit predicts has no SQL twin and is left out."""
     run = train(warehouse(spark, sf_dir).table("ml_play_success_features"), run_id="bench")
-    return run.predictions
+    predicted = ["predicted_is_successful_play", "predicted_success_probability"]
+    return run.predictions.filter(
+        "predicted_is_successful_play IN (0, 1) AND predicted_success_probability BETWEEN 0 AND 1"
+    ).drop(*predicted)
+
+
+@query(
+    "model_fit",
+    with_tables(
+        "SELECT 'intercept' AS feature, CAST(0 AS DOUBLE) AS gradient "
+        + " ".join(f"UNION ALL SELECT '{c}', 0" for c in spec.NUMERIC)
+        + " ".join(
+            f" UNION ALL SELECT DISTINCT concat('{c}=', coalesce(p.{c}, w.{c})), 0 "
+            "FROM parted p CROSS JOIN words w WHERE split = 'train'"
+            for c in spec.CATEGORICAL
+        ),
+        _fit_sql,
+    ),
+)
+def run_model_fit(spark, sf_dir):
+    """The fitted weights are where the penalised loss of all training rows has no slope."""
+    features = warehouse(spark, sf_dir).table("ml_play_success_features")
+    split = chrono_split(stored(model_input(features), "features", "season"))
+    rows = split.filter("split = 'train'")
+    slope = penalised_gradient(fit(rows), rows)
+    return slope.select("feature", F.abs(F.round("gradient", 3)).alias("gradient"))

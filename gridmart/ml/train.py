@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridmart.ml import spec
 from gridmart.ml.metrics import evaluate, metrics_long
-from gridmart.ml.preprocess import apply_preprocess, encoder, fit_preprocess
+from gridmart.ml.preprocess import Preprocess, apply_preprocess, encoder, fit_preprocess
 from gridmart.ml.split import chrono_split, model_input
 from gridmart.operators import modes
 from gridmart.session import stored
@@ -58,6 +59,52 @@ def fit_logistic(train: DataFrame, target: str = spec.TARGET):
     ).fit(train)
 
 
+@dataclass(frozen=True)
+class Fit:
+    """What is learned from the training rows."""
+
+    preprocess: Preprocess
+    coder: PipelineModel
+    model: LogisticRegressionModel
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        return self.model.transform(self.coder.transform(apply_preprocess(rows, self.preprocess)))
+
+    def feature_names(self) -> list[str]:
+        """Names in the order of the weights: numbers, then each category that has an indicator."""
+        labels = zip(spec.CATEGORICAL, self.coder.stages[0].labelsArray, strict=True)
+        return [*spec.NUMERIC, *[f"{c}={label}" for c, own in labels for label in own]]
+
+
+def fit(train_rows: DataFrame) -> Fit:
+    fitted = fit_preprocess(train_rows, spec.NUMERIC, spec.CATEGORICAL)
+    ready = apply_preprocess(train_rows, fitted)
+    coder = encoder(spec.NUMERIC, spec.CATEGORICAL).fit(ready)
+    model = fit_logistic(coder.transform(ready).select("features", spec.TARGET))
+    return Fit(fitted, coder, model)
+
+
+def penalised_gradient(fitted: Fit, train_rows: DataFrame) -> DataFrame:
+    """``(feature, gradient)`` of the mean penalised loss at the fitted weights, over all training rows.
+
+    The loss is convex, so weights at which every entry is 0 are the fit.
+    """
+    names = [*fitted.feature_names(), "intercept"]
+    weights = [*fitted.model.coefficients.toArray().tolist(), 0.0]
+    penalty = fitted.model.getRegParam()
+    scored = fitted.score(train_rows).select(
+        vector_to_array("features").alias("x"),
+        (positive_probability() - F.col(spec.TARGET)).alias("residual"),
+    )
+    x = [*[F.col("x")[i] for i in range(len(names) - 1)], F.lit(1.0)]
+    means = scored.agg(*[F.avg(F.col("residual") * v).alias(f"g{i}") for i, v in enumerate(x)])
+    entries = [
+        F.struct(F.lit(n).alias("feature"), (F.col(f"g{i}") + penalty * w).alias("gradient"))
+        for i, (n, w) in enumerate(zip(names, weights, strict=True))
+    ]
+    return means.select(F.inline(F.array(*entries)))
+
+
 def train(features: DataFrame, run_id: str | None = None, copy: bool = True) -> Run:
     """Fit both models on the training seasons and score the later ones.
 
@@ -74,10 +121,7 @@ def train(features: DataFrame, run_id: str | None = None, copy: bool = True) ->
     is_train = F.col("split") == "train"
     train_rows = split.filter(is_train)
     majority = dummy_prediction(train_rows)
-    fitted = fit_preprocess(train_rows, spec.NUMERIC, spec.CATEGORICAL)
-    ready = apply_preprocess(split, fitted)
-    coder = encoder(spec.NUMERIC, spec.CATEGORICAL).fit(ready.filter(is_train))
-    model = fit_logistic(coder.transform(ready.filter(is_train)).select("features", spec.TARGET))
+    fitted = fit(train_rows)
 
     keep = [
         *spec.ID_COLUMNS,
@@ -85,7 +129,7 @@ def train(features: DataFrame, run_id: str | None = None, copy: bool = True) ->
         F.col("split").alias("split_name"),
         F.col(spec.TARGET).alias("actual"),
     ]
-    scored = model.transform(coder.transform(ready.filter(~is_train)))
+    scored = fitted.score(split.filter(~is_train))
     logistic = stored(
         scored.select(
             *keep,
