@@ -6,31 +6,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.llm import decontaminate, langid, near_duplicates, packing, substrings
+from gridmart.llm.queries import prepare
 from gridmart.llm.tables import documents, keep, read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language compression tells; those it rejects go."""
+    prepare(spark)
     return langid.accepted(docs)
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates."""
+    prepare(spark)
     return near_duplicates.one_of_each(docs)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the passages of 50 words or more that an earlier one has."""
+    prepare(spark)
     return substrings.shortened(docs)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of ten words of a benchmark item occurs."""
+    prepare(spark)
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of what is left, with its place in sequences of 2048 tokens."""
+    prepare(spark)
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

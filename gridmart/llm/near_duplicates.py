@@ -9,10 +9,13 @@
 3. Candidates are confirmed on the full sets of their shingles.
 4. Links make components.
 
-Large posting lists are not expanded into all pairs. First each list's smallest member is paired with the others,
-then, where a list still lies in several components, another member chosen by hash; what then remains is every pair
-of a list whose members are in different components, and these are all looked at. So no link between different
-components is lost, and a list of near copies costs as many pairs as it has members.
+Large posting lists are not expanded into all pairs. First the member whose tokens are the most frequent, the one in
+the middle of a group of copies, is paired with the others; then, where a list still lies in several components,
+another member chosen by hash. What then remains is every pair of a list whose members are in different components.
+Of the documents in such lists the shingles are counted that none of the others has: those that thereby can't be
+similar enough to any member drop out, as do lists that then lie in one component. Lists that share a document
+make a cluster, and in each cluster the documents outside its largest component are held, in blocks, against all
+others on their full sets. So no link between different components is lost, and no list is expanded into pairs.
 
 At a similarity of exactly 0.8 a pair has fewer than 38 of 64 equal coordinates with a chance of about 3e-5,
 at 0.85 of 1e-9; nothing else is lost.
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridmart.llm.components import components
 from gridmart.llm.rows import map_texts
 from gridmart.llm.tables import keep
-from gridmart.llm.words import Words, mix, span_hashes, split, texts_of
+from gridmart.llm.words import Words, mix, slices, span_hashes, split, texts_of
 
 SHINGLE = 5
 PERCENT = 80
@@ -42,6 +45,9 @@ COORDINATES = 64
 MATCHES = 38
 #: Members that are compared with one copy of their list's first text.
 MEMBERS = 500
+#: Documents of a cluster that are held against ANSWERS others at a time.
+QUERIES = 256
+ANSWERS = 4096
 
 SKETCH = "n_shingles bigint, set_key binary, tokens array<bigint>"
 
@@ -90,7 +96,7 @@ def _sketch(size: int):
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """``token, id, n``: the prefix of each class, in lists of two or more."""
+    """``token, id, n, weight``: the prefix of each class, in lists of two or more."""
     posted = classes.select("id", "n", F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     ordered = (
@@ -100,7 +106,9 @@ def _postings(classes: DataFrame) -> DataFrame:
         .filter(F.size("own") >= MATCHES)
     )
     prefix = F.slice("own", 1, F.size("own") - (MATCHES - 1))
-    return ordered.select("id", "n", F.explode(prefix).alias("p")).select("id", "n", "p.token")
+    weight = F.aggregate("own", F.lit(0).cast("bigint"), lambda w, t: w + t["size"]).alias("weight")
+    listed = ordered.select("id", "n", weight, F.explode(prefix).alias("p"))
+    return listed.select("p.token", "id", "n", "weight")
 
 
 def _colliding(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -169,22 +177,66 @@ def _links(pairs: DataFrame, bodies: DataFrame, size: int, percent: int) -> Data
 
 
 def _first_pairs(postings: DataFrame) -> DataFrame:
-    heads = postings.groupBy("token").agg(F.min("id").alias("a"), F.max("id").alias("last"))
+    heads = postings.groupBy("token").agg(
+        F.max_by("id", F.struct("weight", -F.col("id"))).alias("a"),
+        F.min("id").alias("x"),
+        F.max("id").alias("y"),
+    )
     return (
-        postings.join(heads.filter("a < last"), "token")
+        postings.join(heads.filter("x < y").select("token", "a"), "token")
         .filter("id <> a")
         .select("a", F.col("id").alias("b"))
         .distinct()
     )
 
 
+def _in_several(own: DataFrame) -> DataFrame:
+    """The lists of ``token, component, ...`` that lie in more than one component."""
+    several = own.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return own.join(several.filter("x < y").select("token"), "token")
+
+
 def _placed(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """Postings of lists that lie in several components, with these."""
-    own = postings.join(labels, F.col("id") == F.col("u"), "left").select(
-        "token", "id", F.coalesce("v", "id").alias("component")
+    return _in_several(
+        postings.join(labels, F.col("id") == F.col("u"), "left").select(
+            "token", "id", "n", F.coalesce("v", "id").alias("component")
+        )
     )
-    several = own.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    return own.join(several.filter("x < y").select("token"), "token")
+
+
+def _emit(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, ids = texts_of(batch.column("text")), batch.column("id").to_numpy()
+            for begin, end in slices(texts):
+                hashes, begins = shingles(split(texts[begin:end], lower=True), size)
+                owner = np.repeat(ids[begin:end], np.diff(begins))
+                columns = [pa.array(owner), pa.array(hashes.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "hash"])
+
+    return run
+
+
+def _own_shingles(ids: DataFrame, bodies: DataFrame, size: int) -> DataFrame:
+    """``owner, alone``: how many shingles of a document no other of ``ids`` has."""
+    told = bodies.join(ids, "id").select("id", "text").mapInArrow(_emit(size), "id bigint, hash bigint")
+    once = told.groupBy("hash").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
+    return once.filter("owner = last").groupBy("owner").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def _reachable(placed: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """Postings of documents whose own shingles leave room for a link within the list, where the lists
+    still lie in several components."""
+    alone = _own_shingles(placed.select("id").distinct(), bodies, size)
+    known = placed.join(alone, F.col("id") == F.col("owner"), "left").withColumn(
+        "common", F.col("n") - F.coalesce("alone", F.lit(0))
+    )
+    smallest = placed.groupBy("token").agg(F.min("n").alias("least"))
+    partner = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    within = F.col("common") * 100 >= (F.col("n") + partner - F.col("common")) * percent
+    kept = known.join(smallest, "token").filter(within)
+    return _in_several(kept.select("token", "id", "component"))
 
 
 def _second_pairs(placed: DataFrame) -> DataFrame:
@@ -198,18 +250,96 @@ def _second_pairs(placed: DataFrame) -> DataFrame:
     )
 
 
-def _all_pairs(placed: DataFrame) -> DataFrame:
-    """Pairs of a list's members in different components; members of one component never meet."""
-    parts = placed.select("token", "component").distinct()
-    other = parts.select("token", F.col("component").alias("further"))
-    met = parts.join(other, "token").filter("component < further")
-    left = placed.select("token", "component", F.col("id").alias("a"))
-    right = placed.select("token", F.col("component").alias("further"), F.col("id").alias("b"))
-    return (
-        met.join(left, ["token", "component"])
-        .join(right, ["token", "further"])
-        .select("a", "b")
+def _clusters(placed: DataFrame) -> DataFrame:
+    """``id, n, component, cluster, queried``: each document of the lists once. Queried are all but those of the
+    cluster's largest component, as one of any two in different components is among them."""
+    joined = placed.groupBy("token").agg(F.min("id").alias("first"))
+    edges = placed.join(joined, "token").select(F.col("id").alias("u"), F.col("first").alias("v"))
+    labels = components(edges).withColumnsRenamed({"u": "_u", "v": "_v"})
+    own = (
+        placed.select("id", "component")
         .distinct()
+        .join(labels, F.col("id") == F.col("_u"), "left")
+        .select("id", "component", F.coalesce("_v", "id").alias("cluster"))
+    )
+    sizes = own.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("cluster").agg(
+        F.max_by("component", F.struct("size", "component")).alias("largest"),
+        F.ceil((F.sum("size") - F.max("size")) / QUERIES).cast("int").alias("query_parts"),
+        F.ceil(F.sum("size") / ANSWERS).cast("int").alias("answer_parts"),
+    )
+    return own.join(largest, "cluster").withColumn("queried", F.col("component") != F.col("largest"))
+
+
+def _hold(size: int, percent: int):
+    """Sorted rows of blocks, queries first: links between documents of different components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, queries, index = None, [], None
+        for batch in batches:
+            texts = texts_of(batch.column("text"))
+            names = ("cluster", "query_part", "answer_part", "is_query", "id", "component")
+            columns = [batch.column(c).to_pylist() for c in names]
+            found: tuple[list, list] = ([], [])
+            for (*own, is_query, i, component), text in zip(zip(*columns, strict=True), texts, strict=True):
+                if own != block:
+                    block, queries, index = own, [], None
+                hashes = shingles(split([text], lower=True), size)[0]
+                if is_query:
+                    queries.append((i, component, hashes))
+                    continue
+                if index is None:
+                    lengths = np.array([len(q[2]) for q in queries])
+                    held = np.concatenate([q[2] for q in queries] or [hashes[:0]])
+                    order = np.argsort(held, kind="stable")
+                    owner = np.repeat(np.arange(len(queries)), lengths)[order]
+                    index = held[order], owner, lengths
+                held, owner, lengths = index
+                low, high = np.searchsorted(held, hashes, "left"), np.searchsorted(held, hashes, "right")
+                runs = high - low
+                at = np.repeat(low - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+                both = np.bincount(owner[at], minlength=len(queries))
+                for q in np.flatnonzero(100 * both >= percent * (lengths + len(hashes) - both)):
+                    if queries[q][1] != component:
+                        found[0].append(queries[q][0])
+                        found[1].append(i)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64()) for x in found], names=["u", "v"]
+            )
+
+    return run
+
+
+def _held_links(clusters: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links of the queried documents with any of their cluster: each block of queries meets each block
+    of documents in a task."""
+
+    def numbers(count: str):
+        return F.sequence(F.lit(0), F.col(count) - 1)
+
+    def part(count: str):
+        return F.pmod(F.xxhash64("id"), count).cast("int")
+
+    kept = ["cluster", "query_part", "answer_part", "is_query", "id", "component"]
+    texts = clusters.join(bodies, "id")
+    queries = texts.filter("queried").select(
+        "*",
+        part("query_parts").alias("query_part"),
+        F.explode(numbers("answer_parts")).alias("answer_part"),
+        F.lit(True).alias("is_query"),
+    )
+    answers = texts.select(
+        "*",
+        F.explode(numbers("query_parts")).alias("query_part"),
+        part("answer_parts").alias("answer_part"),
+        F.lit(False).alias("is_query"),
+    )
+    return (
+        queries.select(*kept, "text")
+        .unionByName(answers.select(*kept, "text"))
+        .repartition("cluster", "query_part", "answer_part")
+        .sortWithinPartitions("cluster", "query_part", "answer_part", F.desc("is_query"))
+        .mapInArrow(_hold(size, percent), "u bigint, v bigint")
     )
 
 
@@ -239,16 +369,19 @@ def near_duplicates(
     tested = keep(_colliding(_first_pairs(postings), classes, percent), "pairs")
     links = keep(_links(tested, bodies, shingle, percent), "links")
     labels = components(links)
-    for pairs_of in (_second_pairs, _all_pairs):
-        placed = keep(_placed(postings, labels), "placed")
-        if placed.isEmpty():
-            break
+    placed = keep(_placed(postings, labels), "placed")
+    if not placed.isEmpty():
         mirrored = tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        fresh = pairs_of(placed).join(tested.unionByName(mirrored), ["a", "b"], "left_anti")
+        fresh = _second_pairs(placed).join(tested.unionByName(mirrored), ["a", "b"], "left_anti")
         candidates = keep(_colliding(fresh, classes, percent), "pairs")
         links = keep(_links(candidates, bodies, shingle, percent), "links")
         labels = components(labels.unionByName(links))
-        tested = tested.unionByName(candidates)
+        placed = keep(_placed(placed.drop("component"), labels), "placed")
+        placed = keep(_reachable(placed, bodies, shingle, percent), "reachable")
+    if not placed.isEmpty():
+        clusters = keep(_clusters(placed), "clusters")
+        links = keep(_held_links(clusters, bodies, shingle, percent), "links")
+        labels = components(labels.unionByName(links))
 
     known = classes.join(labels, F.col("id") == F.col("u"), "left").select(
         "set_key", F.col("id").alias("class_id"), F.coalesce("v", "id").alias("component_id")

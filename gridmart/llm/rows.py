@@ -40,5 +40,6 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [rows.slice(begin, end - begin), struct], names=["row", "out"]
                 )
+        pa.default_memory_pool().release_unused()
 
     return packed.mapInArrow(run, schema)
