@@ -1,13 +1,17 @@
 """The batch from landed files to predictions.
 
     spark-submit gridmart/jobs.py --landing s3a://bucket/landing --out s3a://bucket/warehouse \\
-        --table all --start-year 2000 --end-year 2024 --build --train
+        --table all --start-year 2000 --end-year 2024 --renames renames.json --build --train
+
+Violated contracts stop the job before the training.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,9 +19,9 @@ from pyspark.sql import types as T
 from gridmart.ml.train import train_job
 from gridmart.plans.warehouse import Warehouse
 from gridmart.quality import failed, run_checks
-from gridmart.session import get_spark
+from gridmart.session import get_spark, release
 from gridmart.sinks import create_result_tables, load_landed, save_mart
-from gridmart.sinks.raw import read_raw
+from gridmart.sinks.raw import read_raw, read_schema
 from gridmart.sources import (
     build_manifest,
     flatten,
@@ -40,6 +44,8 @@ STAGED_FROM = {
     "stg_stats_team_week": "RAW_STATS_TEAM_WEEK",
 }
 
+NEEDED = ("stg_play_by_play", "stg_games", "stg_roster_weekly")
+
 
 def ingest(
     spark: SparkSession,
@@ -65,9 +71,20 @@ def staged(
     schema: T.StructType | None = None,
     renames: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A staged view over a raw table. Without ``schema`` one pass over the records finds it."""
-    records = read_raw(spark, f"{raw.rstrip('/')}/{STAGED_FROM[name]}")
-    return stage(flatten(records, schema or record_schema(records), renames), name)
+    """A staged view over a raw table.
+
+    The fields are ``schema``, else those kept when the files were loaded; only a table loaded by other
+    means needs a pass over its records to find them.
+    """
+    table = STAGED_FROM[name]
+    records = read_raw(spark, f"{raw.rstrip('/')}/{table}")
+    schema = schema or read_schema(spark, raw, table) or record_schema(records)
+    return stage(flatten(records, schema, renames), name)
+
+
+def _has_raw(spark: SparkSession, raw: str, name: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{raw.rstrip('/')}/{STAGED_FROM[name]}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def build(
@@ -78,19 +95,18 @@ def build(
     renames: dict[str, dict[str, str]] | None = None,
     seeds: dict[str, str] | None = None,
 ) -> Warehouse:
-    """All tables from the raw ones, then their contracts.
+    """All tables from the raw ones.
 
-    The plays feed seven tables, so they are parsed out of the records
-    once and stored by season. ``seeds`` gives paths of seed files other than the packaged ones.
+    Every staged source is parsed out of its records once and stored (by season where it has one). Plays,
+    games and rosters are needed; the other sources are staged if they have been loaded. ``renames`` maps names
+    in the files to staged ones per source, ``seeds`` gives paths of seed files other than the packaged ones.
     """
     schemas, renames, seeds = schemas or {}, renames or {}, seeds or {}
-    sources = {
-        name: staged(spark, raw, name, schemas.get(name), renames.get(name))
-        for name in ("stg_play_by_play", "stg_games", "stg_roster_weekly")
-    }
-    sources["stg_play_by_play"] = save_mart(
-        sources["stg_play_by_play"], f"{out}/stg_play_by_play"
-    )
+    sources = {}
+    for name in STAGED_FROM:
+        if name in NEEDED or _has_raw(spark, raw, name):
+            view = staged(spark, raw, name, schemas.get(name), renames.get(name))
+            sources[name] = save_mart(view, f"{out}/{name}")
     for name in ("map_team_code_seed", "dim_franchise_seed"):
         sources[name] = read_seed(spark, name, seeds.get(name))
     warehouse = Warehouse(sources, out)
@@ -98,7 +114,11 @@ def build(
     return warehouse
 
 
-def main() -> None:
+def _json_file(path: str | None) -> dict:
+    return json.loads(Path(path).read_text(encoding="utf-8")) if path else {}
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--landing", required=True, help="root folder of the landed files")
     parser.add_argument("--out", required=True, help="root folder of raw and stored tables")
@@ -107,20 +127,37 @@ def main() -> None:
     parser.add_argument("--end-year", type=int, default=date.today().year)
     parser.add_argument("--build", action="store_true", help="build and check the star schema")
     parser.add_argument("--train", action="store_true", help="train on the feature table")
-    args = parser.parse_args()
-    spark = get_spark()
+    parser.add_argument(
+        "--renames", help='JSON file: {"stg_games": {"name in the files": "staged name"}, ...}'
+    )
+    parser.add_argument("--schemas", help='JSON file: {"stg_games": "game_id string, ..."}')
+    parser.add_argument("--seeds", help='JSON file: {"map_team_code_seed": "path of the CSV", ...}')
+    parser.add_argument("--failures", help="text file or folder: a source_key per line that failed")
+    parser.add_argument(
+        "--train-anyway", action="store_true", help="train even if contracts are violated"
+    )
+    args = parser.parse_args(argv)
+    spark = spark or get_spark()
     raw, marts = f"{args.out}/raw", f"{args.out}/marts"
-    print("loaded:", ingest(spark, args.landing, raw, args.table, args.start_year, args.end_year))
-    if args.build or args.train:
-        warehouse = build(spark, raw, marts)
-        broken = failed(run_checks(warehouse.table)).collect()
-        for row in broken:
-            print("violated:", row["model"], row["check_name"], row["violations"])
-        if args.train:
-            create_result_tables(spark)
-            print("written:", train_job(warehouse.ml_play_success_features))
-        if broken:
-            raise SystemExit(f"{len(broken)} checks failed")
+    failures = spark.read.text(args.failures).toDF("source_key") if args.failures else None
+    years = (args.start_year, args.end_year)
+    print("loaded:", ingest(spark, args.landing, raw, args.table, *years, failures))
+    if not (args.build or args.train):
+        return
+    schemas = {name: T.DataType.fromDDL(ddl) for name, ddl in _json_file(args.schemas).items()}
+    warehouse = build(
+        spark, raw, marts, schemas, _json_file(args.renames), _json_file(args.seeds)
+    )
+    broken = failed(run_checks(warehouse.table)).collect()
+    for row in broken:
+        print("violated:", row["model"], row["check_name"], row["violations"])
+    if args.train and (args.train_anyway or not broken):
+        create_result_tables(spark)
+        # Stored by season already.
+        print("written:", train_job(warehouse.ml_play_success_features, copy=False))
+    release(spark)
+    if broken:
+        raise SystemExit(f"{len(broken)} checks failed")
 
 
 if __name__ == "__main__":

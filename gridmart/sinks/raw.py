@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from gridmart.sources.landing import scan_with_provenance
 
@@ -16,21 +18,18 @@ def replace_by_source_file(df: DataFrame, path: str, files: list[str]) -> None:
     partitions it has rows for, so writing the same file twice changes nothing
     and a job that fails before its commit leaves the old rows. A file that now
     yields no rows has no partition to overwrite; its old one is removed after
-    the commit.
+    the commit. Which files have rows is seen during the one write; the names of the files of a load are few.
     """
+    touched = Observation()
+    keys = F.collect_set(F.when(F.col("source_file").isin(files), F.col("source_file")))
     (
-        df.write.mode("overwrite")
+        df.observe(touched, keys.alias("keys"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_file")
         .parquet(path)
     )
-    filled = {
-        row["source_file"]
-        for row in df.filter(F.col("source_file").isin(files))
-        .select("source_file")
-        .distinct()
-        .collect()
-    }
+    filled = set(touched.get["keys"])
     for key in files:
         if key not in filled:
             _drop_partition(df.sparkSession, path, key)
@@ -53,6 +52,44 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def merged_schema(one: T.StructType, other: T.StructType) -> T.StructType:
+    """Fields of both. Whole numbers widen to ``bigint``, other pairs of number types to ``double``, any
+    other two types to ``string``."""
+    kinds = {f.name: f.dataType for f in one.fields}
+    for field in other.fields:
+        own = kinds.setdefault(field.name, field.dataType)
+        if own != field.dataType:
+            both = (own, field.dataType)
+            if all(isinstance(t, T.IntegralType) for t in both):
+                kinds[field.name] = T.LongType()
+            elif all(isinstance(t, T.NumericType) for t in both):
+                kinds[field.name] = T.DoubleType()
+            else:
+                kinds[field.name] = T.StringType()
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+def _schema_path(out: str, table: str) -> str:
+    return f"{out.rstrip('/')}/_schemas/{table}"
+
+
+def read_schema(spark: SparkSession, out: str, table: str) -> T.StructType | None:
+    """Fields of the raw table's records as the loads so far have found them in the files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_schema_path(out, table))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    return T.StructType.fromJson(json.loads(spark.read.text(_schema_path(out, table)).first()[0]))
+
+
+def _keep_schema(spark: SparkSession, out: str, table: str, root: str, keys: list[str]) -> None:
+    found = read_schema(spark, out, table) or T.StructType()
+    for key in keys:  # only footers are read
+        found = merged_schema(found, spark.read.parquet(f"{root.rstrip('/')}/{key}").schema)
+    text = spark.createDataFrame([(found.json(),)], "value string").coalesce(1)
+    text.write.mode("overwrite").text(_schema_path(out, table))
+
+
 def load_landed(spark: SparkSession, status: DataFrame, root: str, out: str) -> dict[str, int]:
     """Load every uploaded file of a manifest into its raw table under ``out``.
 
@@ -69,4 +106,5 @@ def load_landed(spark: SparkSession, status: DataFrame, root: str, out: str) ->
         replace_by_source_file(
             scan_with_provenance(spark, root, rows), f"{out.rstrip('/')}/{table}", keys
         )
+        _keep_schema(spark, out, table, root, keys)
     return {table: len(rows) for table, rows in tables.items()}

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from gridmart.session import stored
+
 METRICS_TABLE = "ml_play_success_model_metrics"
 PREDICTIONS_TABLE = "ml_play_success_predictions"
 
@@ -38,13 +40,11 @@ def create_result_tables(spark: SparkSession, database: str | None = None) -> No
 def append_result(df: DataFrame, table: str, run_id: str) -> AppendResult:
     """Append ``df`` to ``table`` as run ``run_id`` with one creation time for the write.
 
-    Nothing is written for an empty frame. Rows are counted by the run id
-    after the write, so the frame itself is computed once.
+    The frame is computed once, into the work folder; its rows are counted there (from the footers) and
+    then appended. An empty frame adds none.
     """
     spark = df.sparkSession
     target = spark.table(table)
-    if df.isEmpty():
-        return AppendResult(True, 0)
     now = spark.sql("SELECT CAST(current_timestamp() AS timestamp_ntz)").first()[0]
     stamped = df.withColumn("run_id", F.lit(run_id)).withColumn(
         "created_at", F.lit(now).cast(T.TimestampNTZType())
@@ -52,7 +52,8 @@ def append_result(df: DataFrame, table: str, run_id: str) -> AppendResult:
     rows = stamped.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
-    before = target.filter(F.col("run_id") == run_id).count()
-    rows.write.mode("append").insertInto(table)
-    after = spark.table(table).filter(F.col("run_id") == run_id).count()
-    return AppendResult(True, after - before)
+    copy = stored(rows, "append")
+    count = copy.count()
+    if count:
+        copy.write.mode("append").insertInto(table)
+    return AppendResult(True, count)

@@ -19,7 +19,12 @@ def list_landed(spark: SparkSession, root: str) -> DataFrame:
         .load(base)
         .select("path", "length")
     )
-    inside = F.split(F.col("path"), base.split(":", 1)[-1], 2).getItem(1)
+    # The root is taken literally: no character of it has a special meaning.
+    prefix = F.lit(base.split(":", 1)[-1])
+    at = F.instr(F.col("path"), prefix)
+    inside = F.when(at > 0, F.substring(F.col("path"), at + F.length(prefix), F.length("path"))).otherwise(
+        F.raise_error(F.concat(F.lit(f"not below {base}: "), F.col("path")))
+    )
     # A dataset file may itself be a folder of part files: its key ends at the first ".parquet".
     key = F.regexp_extract(inside, r"^(.*?\.parquet)", 1)
     return files.groupBy(key.alias("source_key")).agg(F.sum("length").alias("bytes"))

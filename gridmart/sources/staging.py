@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -54,21 +56,28 @@ fg_blocked_distance pat_made pat_att pat_missed pat_blocked pat_pct gwfg_made gw
 gwfg_missed gwfg_blocked gwfg_distance fantasy_points fantasy_points_ppr
 """.split()
 
-# The team table has the player table's columns without these, plus timeouts.
-PLAYER_ONLY = """
-player_id player_name player_display_name position position_group headshot_url pacr racr
-target_share air_yards_share wopr fantasy_points fantasy_points_ppr
+# Columns of the team table, in source order.
+TEAM_WEEK = """
+season week team season_type opponent_team completions attempts passing_yards passing_tds
+passing_interceptions sacks_suffered sack_yards_lost sack_fumbles sack_fumbles_lost
+passing_air_yards passing_yards_after_catch passing_first_downs passing_epa passing_cpoe
+passing_2pt_conversions carries rushing_yards rushing_tds rushing_fumbles rushing_fumbles_lost
+rushing_first_downs rushing_epa rushing_2pt_conversions receptions targets receiving_yards
+receiving_tds receiving_fumbles receiving_fumbles_lost receiving_air_yards
+receiving_yards_after_catch receiving_first_downs receiving_epa receiving_2pt_conversions
+special_teams_tds def_tackles_solo def_tackles_with_assist def_tackle_assists def_tackles_for_loss
+def_tackles_for_loss_yards def_fumbles_forced def_sacks def_sack_yards def_qb_hits
+def_interceptions def_interception_yards def_pass_defended def_tds def_fumbles def_safeties
+misc_yards fumble_recovery_own fumble_recovery_yards_own fumble_recovery_opp
+fumble_recovery_yards_opp fumble_recovery_tds penalties penalty_yards timeouts punt_returns
+punt_return_yards kickoff_returns kickoff_return_yards fg_made fg_att fg_missed fg_blocked fg_long
+fg_pct fg_made_0_19 fg_made_20_29 fg_made_30_39 fg_made_40_49 fg_made_50_59 fg_made_60_
+fg_missed_0_19 fg_missed_20_29 fg_missed_30_39 fg_missed_40_49 fg_missed_50_59 fg_missed_60_
+fg_made_list fg_missed_list fg_blocked_list fg_made_distance fg_missed_distance
+fg_blocked_distance pat_made pat_att pat_missed pat_blocked pat_pct gwfg_made gwfg_att gwfg_missed
+gwfg_blocked gwfg_distance
 """.split()
 
-
-def _team_week_columns() -> list[str]:
-    shared = [c for c in PLAYER_STATS if c not in PLAYER_ONLY]
-    at = shared.index("penalty_yards") + 1
-    return shared[:at] + ["timeouts"] + shared[at:]
-
-
-TEAM_WEEK = _team_week_columns()
-
 # The play-by-play source is several hundred columns wide; its own schema decides
 # which of them are staged, and only what the stored tables read is required.
 COLUMNS = {
@@ -108,13 +117,22 @@ def stage(df: DataFrame, name: str, columns: list[str] | None = None) -> DataFra
     return nan_to_null(named.select(*columns))
 
 
+# A quoted name, or an object or unknown type where a type stands: first, after ": " or in an array.
+_NAME_OR_TYPE = re.compile(r"`(?:[^`]|``)*`|(?:^|(?<=: )|(?<=ARRAY<))(?:OBJECT<|VOID\b)")
+_TYPES = {"OBJECT<": "STRUCT<", "VOID": "STRING"}
+
+
+def struct_of(variant_schema: str) -> T.StructType:
+    """The struct type of a variant's schema text; fields without any value are strings."""
+    if not variant_schema.startswith("OBJECT<"):
+        raise ValueError(f"records are not objects: {variant_schema}")
+    ddl = _NAME_OR_TYPE.sub(lambda m: _TYPES.get(m[0], m[0]), variant_schema)
+    return T.DataType.fromDDL(ddl)
+
+
 def record_schema(raw: DataFrame) -> T.StructType:
     """Field names and types of all records, merged over files whose types drift."""
-    text = raw.agg(F.schema_of_variant_agg("record")).first()[0]
-    if not text.startswith("OBJECT<"):
-        raise ValueError(f"records are not objects: {text}")
-    ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return T.DataType.fromDDL(ddl)
+    return struct_of(raw.agg(F.schema_of_variant_agg("record")).first()[0])
 
 
 def flatten(

@@ -1,7 +1,11 @@
 """From landed files to stored tables and checks."""
 
+import json
+
+import pytest
+
 import fixtures as fx
-from gridmart.jobs import build, ingest
+from gridmart.jobs import build, ingest, main
 from gridmart.plans.warehouse import TABLES
 from gridmart.quality import failed, run_checks
 
@@ -54,3 +58,53 @@ def test_landing_to_checks(spark, tmp_path):
         (r["model"], r["check_name"]) for r in failed(run_checks(warehouse.table)).collect()
     }
     assert broken == {("dim_game", "not_null:gameday")}
+
+
+def test_command_line_on_files_with_other_names(spark, tmp_path, capsys):
+    """Upstream names, renamed from a JSON file; a violated contract ends the job before training."""
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    other = {
+        "stg_play_by_play": {"safety_flag": "safety", "play_desc": "desc", "nfl_week": "week"},
+        "stg_games": {"game_result": "result"},
+    }
+    plays = [fx.play("g1", i, season=2021, rush_attempt=1, rusher_player_id="p1") for i in range(3)]
+    land(
+        fx.rows(spark, "stg_play_by_play", plays),
+        landing,
+        "pbp/play_by_play_2021.parquet",
+        other["stg_play_by_play"],
+    )
+    games = fx.rows(spark, "stg_games", [fx.game("g1", season=2021, game_type="REG")])
+    land(games, landing, "schedules/games.parquet", other["stg_games"])
+    rosters = fx.rows(spark, "stg_roster_weekly", [fx.roster("p1", 1, "A1", season=2021)])
+    land(rosters, landing, "weekly_rosters/roster_weekly_2021.parquet")
+    seeds = {}
+    for name, df in fx.seeds(spark).items():
+        df.coalesce(1).write.option("header", True).csv(str(tmp_path / name))
+        seeds[name] = str(tmp_path / name)
+    renames = {
+        table: {there: here for here, there in names.items() if here != "safety_flag"}
+        for table, names in other.items()
+    }
+    (tmp_path / "renames.json").write_text(json.dumps(renames))
+    (tmp_path / "seeds.json").write_text(json.dumps(seeds))
+    files = ["--renames", str(tmp_path / "renames.json"), "--seeds", str(tmp_path / "seeds.json")]
+    years = ["--start-year", "2021", "--end-year", "2021"]
+    with pytest.raises(SystemExit, match="1 checks failed"):
+        main(["--landing", landing, "--out", out, *years, *files, "--build", "--train"], spark)
+    said = capsys.readouterr().out
+    assert "violated: dim_game not_null:gameday 1" in said and "written:" not in said
+    assert spark.read.parquet(f"{out}/marts/fct_play").count() == 3
+    assert spark.read.parquet(f"{out}/marts/stg_games").count() == 1
+
+
+def test_listed_failures_stop_the_load(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(spark.range(1), landing, "schedules/games.parquet")
+    (tmp_path / "failures.txt").write_text("schedules/games.parquet\n")
+    with pytest.raises(RuntimeError, match="1 file"):
+        main(
+            ["--landing", landing, "--out", str(tmp_path / "out"), "--table", "schedules",
+             "--failures", str(tmp_path / "failures.txt")],
+            spark,
+        )

@@ -4,10 +4,11 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import fixtures as fx
 from gridmart.sinks import load_landed
-from gridmart.sinks.raw import read_raw, replace_by_source_file
+from gridmart.sinks.raw import merged_schema, read_raw, replace_by_source_file
 from gridmart.sources import (
     build_manifest,
     flatten,
@@ -21,7 +22,7 @@ from gridmart.sources import (
     stage,
     year_range,
 )
-from gridmart.sources.staging import COLUMNS
+from gridmart.sources.staging import COLUMNS, struct_of
 
 
 def manifest(spark, table, years):
@@ -201,3 +202,33 @@ def test_read_columns(spark):
     assert read_columns(spark, "some_table", ["GAME_ID"]).columns == ["game_id"]
     with pytest.raises(ValueError):
         read_columns(spark, "some_table", ["absent"])
+
+
+@pytest.mark.parametrize("name", ["v1+2", "a(b", "x.y$z"])
+def test_listing_takes_the_root_literally(spark, tmp_path, name):
+    root = tmp_path / name
+    spark.range(3).write.parquet(str(root / "schedules" / "games.parquet"))
+    assert [r["source_key"] for r in list_landed(spark, str(root)).collect()] == ["schedules/games.parquet"]
+
+
+def test_type_words_inside_field_names_stay(spark):
+    text = "OBJECT<AVOIDED_TACKLES: BIGINT, VOID: VOID, `a: VOID`: ARRAY<VOID>, o: OBJECT<OBJECT: VOID>>"
+    schema = struct_of(text)
+    assert schema.names == ["AVOIDED_TACKLES", "VOID", "a: VOID", "o"]
+    assert [f.dataType.simpleString() for f in schema] == [
+        "bigint", "string", "array<string>", "struct<OBJECT:string>"
+    ]
+    raw = spark.sql("SELECT parse_json('{\"AVOIDED_TACKLES\": 3, \"x\": null}') AS record")
+    row = flatten(raw, record_schema(raw)).first()
+    assert (row["avoided_tackles"], row["x"]) == (3, None)
+
+
+def test_schemas_of_loads_are_merged(spark):
+    one = T.StructType.fromDDL("a int, b int, c string")
+    two = T.StructType.fromDDL("a bigint, b double, c int, d date")
+    assert merged_schema(one, two).simpleString() == "struct<a:bigint,b:double,c:string,d:date>"
+
+
+def test_team_week_in_source_order():
+    assert COLUMNS["stg_stats_team_week"][:5] == ["season", "week", "team", "season_type", "opponent_team"]
+    assert len(COLUMNS["stg_stats_team_week"]) == 102
