@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from gridmart.sources.landing import scan_with_provenance
@@ -18,30 +18,30 @@ def replace_by_source_file(df: DataFrame, path: str, files: list[str]) -> None:
     partitions it has rows for, so writing the same file twice changes nothing
     and a job that fails before its commit leaves the old rows. A file that now
     yields no rows has no partition to overwrite; its old one is removed after
-    the commit. Which files have rows is seen during the one write; the names of the files of a load are few.
+    the commit. The input is computed once: which folders were written shows in the names of their files.
     """
-    touched = Observation()
-    keys = F.collect_set(F.when(F.col("source_file").isin(files), F.col("source_file")))
+    spark = df.sparkSession
+    before = {key: _partition(spark, path, key) for key in files}
     (
-        df.observe(touched, keys.alias("keys"))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_file")
         .parquet(path)
     )
-    filled = set(touched.get["keys"])
-    for key in files:
-        if key not in filled:
-            _drop_partition(df.sparkSession, path, key)
+    for key, (store, folder, names) in before.items():
+        # Every write gives its files new names; a folder that still has the old ones was not written.
+        if names and names == _partition(spark, path, key)[2]:
+            store.delete(folder, True)
 
 
-def _drop_partition(spark: SparkSession, path: str, key: str) -> None:
+def _partition(spark: SparkSession, path: str, key: str):
+    """The file system, the folder of a source file's rows, and the names of the files in it."""
     jvm = spark.sparkContext._jvm
     utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     folder = jvm.org.apache.hadoop.fs.Path(path, "source_file=" + utils.escapePathName(key))
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(folder):
-        files.delete(folder, True)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = store.listStatus(folder) if store.exists(folder) else []
+    return store, folder, {status.getPath().getName() for status in found}
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
