@@ -362,8 +362,10 @@ def near_duplicates(
     )
     postings = keep(_postings(classes), "postings")
     involved = postings.select("id").distinct()
+    # Both sides grow with the corpus, so it is the same shuffle join at every size.
     bodies = keep(
-        texts.join(involved, F.col("doc_id") == F.col("id")).select("id", "text"), "bodies"
+        texts.join(involved.hint("merge"), F.col("doc_id") == F.col("id")).select("id", "text"),
+        "bodies",
     )
 
     tested = keep(_colliding(_first_pairs(postings), classes, percent), "pairs")
@@ -400,4 +402,5 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The document with the smallest id of each component, with its columns."""
     gone = near_duplicates(docs, shingle, percent).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(keep(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    # As above: what goes grows with the corpus.
+    return docs.join(keep(gone, "gone").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
