@@ -27,19 +27,22 @@ def _counted(found: DataFrame, check: str, model: str, count) -> DataFrame:
 def check_model(tables, model: str) -> DataFrame:
     """``(check_name, model, violations)`` for all checks of ``model``.
 
-    ``tables`` gives frames by name. All row checks share one pass; each key
-    check is an aggregation of its own.
+    ``tables`` gives frames by name. The columns of the contract and the outcome of its rules are stored
+    once; all row checks share one pass over them, each key check is an aggregation of its own.
     """
     contract = CONTRACTS[model]
-    df = tables(model)
-    if not contract.rules and len(contract.relationships) > 1:
-        # Read many times below; keep the few columns the checks look at.
-        columns = [*contract.not_null, *contract.unique, *contract.accepted, *contract.grain]
-        columns += [c for c, _, _ in contract.relationships]
-        df = stored(df.select(*dict.fromkeys(columns)), f"check-{model}")
+    rules = {name: rule(make()) for name, make in contract.rules.items()}
+    columns = [*contract.not_null, *contract.unique, *contract.accepted, *contract.grain]
+    columns += [c for c, _, _ in contract.relationships]
+    df = tables(model).select(
+        *dict.fromkeys(columns), *[v.alias(f"_rule_{i}") for i, v in enumerate(rules.values())]
+    )
+    if len(contract.relationships) + len(contract.unique) + bool(contract.grain) > 1:
+        # Several checks read what the contract looks at; the model itself is computed once.
+        df = stored(df, f"check-{model}")
     rows = {f"not_null:{c}": not_null(c) for c in contract.not_null}
     rows |= {f"accepted_values:{c}": accepted_values(c, v) for c, v in contract.accepted.items()}
-    rows |= {f"rule:{name}": rule(make()) for name, make in contract.rules.items()}
+    rows |= {f"rule:{name}": F.col(f"_rule_{i}") for i, name in enumerate(rules)}
     results = [count_violations(df, model, rows)]
     for column in contract.unique:
         found = duplicate_keys(df, [column], ignore_null=True)
