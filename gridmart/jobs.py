@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import uuid
 from datetime import date
 from pathlib import Path
 
@@ -17,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gridmart.ml.train import train_job
-from gridmart.plans.warehouse import Warehouse
+from gridmart.plans.warehouse import TABLES, Warehouse
 from gridmart.quality import failed, run_checks
 from gridmart.session import get_spark, release
 from gridmart.sinks import create_result_tables, load_landed, save_mart
+from gridmart.sinks.marts import publish
 from gridmart.sinks.raw import read_raw, read_schema
 from gridmart.sources import (
     build_manifest,
@@ -133,12 +135,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--schemas", help='JSON file: {"stg_games": "game_id string, ..."}')
     parser.add_argument("--seeds", help='JSON file: {"map_team_code_seed": "path of the CSV", ...}')
     parser.add_argument("--failures", help="text file or folder: a source_key per line that failed")
+    parser.add_argument(
+        "--database", help="build in a new folder and, if no contract is violated, show it as these tables"
+    )
     parser.add_argument(
         "--train-anyway", action="store_true", help="train even if contracts are violated"
     )
     args = parser.parse_args(argv)
     spark = spark or get_spark()
     raw, marts = f"{args.out}/raw", f"{args.out}/marts"
+    if args.database:
+        marts = f"{marts}/{uuid.uuid4().hex}"
     failures = spark.read.text(args.failures).toDF("source_key") if args.failures else None
     years = (args.start_year, args.end_year)
     print("loaded:", ingest(spark, args.landing, raw, args.table, *years, failures))
@@ -151,6 +158,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     broken = failed(run_checks(warehouse.table)).collect()
     for row in broken:
         print("violated:", row["model"], row["check_name"], row["violations"])
+    if args.database and not broken:
+        publish(spark, marts, [*(n for n in STAGED_FROM if n in warehouse.sources), *TABLES], args.database)
     if args.train and (args.train_anyway or not broken):
         create_result_tables(spark)
         # Stored by season already.

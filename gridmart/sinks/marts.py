@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save_mart(df: DataFrame, path: str, partition_by: str | None = "season") -> DataFrame:
@@ -18,3 +18,17 @@ def save_mart(df: DataFrame, path: str, partition_by: str | None = "season") ->
         writer = df.hint("rebalance").write
     writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def publish(spark: SparkSession, folder: str, names: list[str], database: str) -> None:
+    """Let the tables ``database.name`` show the stored frames ``folder/name``.
+
+    For a folder of its own per build: until it is complete and checked, the tables show the build
+    before, and a build that fails changes nothing. The files belong to the folder, not to the table.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in names:
+        table, path = f"{database}.{name}", f"{folder.rstrip('/')}/{name}"
+        columns = spark.read.parquet(path)  # fails before the old table goes
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=path, source="parquet", schema=columns.schema)

@@ -8,6 +8,8 @@ import fixtures as fx
 from gridmart.jobs import build, ingest, main
 from gridmart.plans.warehouse import TABLES
 from gridmart.quality import failed, run_checks
+from gridmart.sinks.marts import publish, save_mart
+from gridmart.sources.staging import read_columns
 
 
 def land(df, root, key, renames=None):
@@ -108,3 +110,21 @@ def test_listed_failures_stop_the_load(spark, tmp_path):
              "--failures", str(tmp_path / "failures.txt")],
             spark,
         )
+
+
+def test_named_tables_show_the_last_complete_build(spark, tmp_path):
+    first, second = str(tmp_path / "one"), str(tmp_path / "two")
+    rows = spark.range(6).selectExpr("id", "id % 2 AS season")
+    save_mart(rows, f"{first}/fct")
+    save_mart(rows.limit(1).select("id"), f"{first}/dim")
+    publish(spark, first, ["fct", "dim"], "published")
+    assert spark.table("published.fct").filter("season = 1").count() == 3
+    assert read_columns(spark, "published.dim", ["ID"]).columns == ["id"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        publish(spark, second, ["fct", "dim"], "published")
+    assert spark.table("published.fct").count() == 6
+    save_mart(rows.filter("id > 3"), f"{second}/fct")
+    publish(spark, second, ["fct"], "published")
+    assert spark.table("published.fct").count() == 2 and spark.table("published.dim").count() == 1
+    assert spark.read.parquet(f"{first}/fct").count() == 6
+    spark.sql("DROP DATABASE published CASCADE")
