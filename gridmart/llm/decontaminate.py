@@ -5,8 +5,8 @@ item). For the patterns of one length, a shift table says for each block of two
 search may move on; only where the shift is 0 a bucket of patterns that end in this block is looked
 up, and direct comparison of all words confirms an occurrence.
 
-The benchmark is a side input: it is broadcast in blocks of ``BLOCK_BYTES`` of text at most (one longer
-item is a block of its own), one pass over the documents for each block, with no shuffle of documents.
+The benchmark is a side input: it is broadcast in blocks of about ``BLOCK_BYTES`` of text (or one longer item), one
+pass over the documents for each block, with what was found so far stored in between. Documents are not shuffled.
 
 Edge cases: NULL and empty texts have no words, are hit nowhere and stay. Items without words give no
 pattern. An item with a NULL id marks words, but is not listed. Repeated items and ids count once.
@@ -15,18 +15,19 @@ Repeated documents are judged row by row. An empty benchmark hits nothing.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridmart.llm.rows import map_texts
-from gridmart.llm.words import alnum_words
+from gridmart.llm.tables import keep
+from gridmart.llm.words import alnum_words, slices, texts_of
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 
-FOUND = "n_words bigint, spans array<struct<first:int,stop:int>>, items array<string>"
+FOUND = "n_words: bigint, spans: array<struct<first: int, stop: int>>, items: array<string>"
 
 
 class WuManber:
@@ -91,7 +92,7 @@ def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes:
         F.col(text).cast("binary").alias("text"),
     ).filter(F.length("text") > 0)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
+    blocks = max(1, -(-total // block_bytes))
     for b in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         yield [(r["item"], bytes(r["text"])) for r in own.collect()]
@@ -108,29 +109,42 @@ def occurrences(
 ) -> DataFrame:
     """``row`` (the document) and ``out``: its number of words, the covered spans and the items."""
     context = docs.sparkSession.sparkContext
-    blocks = list(benchmark_blocks(benchmark, item_id, item_text, block_bytes))
-    sent = [context.broadcast(block) for block in blocks]
-
-    def make():
-        tables = [m for block in sent for m in patterns_of(block.value, window)]
-
-        def find(texts):
-            counts, spans, items = [], [], []
-            for t in texts:
-                words = alnum_words(t)
-                found, ids = [], set()
-                for table in tables:
-                    for first, stop, own in table.search(words):
-                        found.append((first, stop))
-                        ids |= own
-                counts.append(len(words))
-                spans.append([{"first": a, "stop": b} for a, b in merge(found)])
-                items.append(sorted(ids))
-            return [counts, spans, items]
-
-        return find
-
-    return map_texts(docs, make, FOUND, text)
+    found = docs.select(F.struct("*").alias("row")).withColumn("out", F.lit(None).cast(f"struct<{FOUND}>"))
+    for k, block in enumerate(benchmark_blocks(benchmark, item_id, item_text, block_bytes)):
+        if k:
+            found = keep(found, "searched")  # the next block's pass begins when this one is done
+        found = found.mapInArrow(_search(context.broadcast(block), window, text), found.schema)
+    return found
+
+
+def _search(sent, window: int, text: str):
+    """One block's pass: spans and items are added to those of the passes before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = patterns_of(sent.value, window)
+
+        def one(text: bytes | None, before: dict | None) -> dict:
+            words = alnum_words(text)
+            spans = [(s["first"], s["stop"]) for s in before["spans"]] if before else []
+            items = set(before["items"]) if before else set()
+            for table in tables:
+                for first, stop, own in table.search(words):
+                    spans.append((first, stop))
+                    items |= own
+            merged = [{"first": a, "stop": b} for a, b in merge(spans)]
+            return dict(n_words=len(words), spans=merged, items=sorted(items))
+
+        for batch in batches:
+            rows, before = batch.column(0), batch.column(1)
+            texts = texts_of(rows.field(text))
+            for begin, end in slices(texts):
+                earlier = before.slice(begin, end - begin).to_pylist()
+                out = [one(t, o) for t, o in zip(texts[begin:end], earlier, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.slice(begin, end - begin), pa.array(out, before.type)], names=["row", "out"]
+                )
+
+    return run
 
 
 def digest(found: DataFrame) -> DataFrame:

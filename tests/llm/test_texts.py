@@ -31,7 +31,7 @@ def places_of(pattern, words):
     return [i for i in range(len(words) - n + 1) if words[i : i + n] == pattern]
 
 
-@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 60])
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 900])
 def test_decontamination_equals_brute_force(spark, docs, rows, block_bytes):
     rng = random.Random(4)
     texts = [t for _, t in rows if t]
