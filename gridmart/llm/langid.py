@@ -6,7 +6,8 @@ dictionary; the language whose dictionary leaves the fewest bytes wins. A dictio
 start of what is compressed, hence the blocks. Where the next best is closer than ``MIN_MARGIN`` (of its
 size) the text is rejected, as is one without letters, which is ``und``.
 
-Fit: at most ``SAMPLE_TEXTS`` texts per language, those with the smallest hash of the text, cut to
+Fit: at most ``SAMPLE_TEXTS`` different texts per language, those with the smallest hash of the text (copies take
+one place together), cut to
 ``SAMPLE_BYTES`` in total (documented bound: languages x 48 KiB on the driver; more than ``MAX_LANGUAGES``
 languages are an error). Numbers of training rows are counted over all of them. Prediction covers every
 text whole, and shuffles nothing.
@@ -43,6 +44,19 @@ def plain(text: str) -> bytes:
     return b" ".join(text.lower().encode("utf-8", "replace").translate(_LETTERS_ONLY).split())
 
 
+def _sampled(learn: DataFrame) -> DataFrame:
+    """``lang, place, text``: the different texts of each language that are learned from."""
+    hashed = learn.withColumn("hash", F.xxhash64("text"))
+    # Only hashes and keys are shuffled, one row per different text of a task.
+    texts = hashed.groupBy("lang", "hash").agg(F.min("key").alias("key"))
+    # A rank limit: each task passes on SAMPLE_TEXTS rows of a language at most.
+    by = Window.partitionBy("lang").orderBy("hash")
+    places = texts.withColumn("place", F.row_number().over(by)).filter(F.col("place") <= SAMPLE_TEXTS)
+    # SAMPLE_TEXTS rows per language; rows that repeat a key with its text count once.
+    chosen = hashed.join(F.broadcast(places), ["lang", "hash", "key"])
+    return chosen.groupBy("lang", "place").agg(F.min("text").alias("text"))
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict:
     """Raw content per language, the language with most training rows first."""
     learn = docs.select(
@@ -52,15 +66,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     order = [row["lang"] for row in counts.collect()]
     if len(order) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # A rank limit: each task passes on SAMPLE_TEXTS rows of a language at most.
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "key")
     share = SAMPLE_BYTES // SAMPLE_TEXTS
-    rows = (
-        learn.withColumn("place", F.row_number().over(by))
-        .filter(F.col("place") <= SAMPLE_TEXTS)
-        .select("lang", "place", F.substring("text", 1, 2 * share).alias("text"))
-        .collect()
-    )
+    rows = _sampled(learn).select("lang", "place", F.substring("text", 1, 2 * share).alias("text")).collect()
     found: dict[str, list] = defaultdict(list)
     for row in sorted(rows, key=lambda r: (r["lang"], r["place"])):
         found[row["lang"]].append(plain(row["text"])[:share])

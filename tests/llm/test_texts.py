@@ -138,6 +138,14 @@ def test_language_of_awkward_texts(spark, docs, rows, no_docs):
     assert langid.accepted(docs).columns == docs.columns
 
 
+def test_copies_take_one_place_in_a_language_sample(spark):
+    """Every text has more copies than there are places."""
+    texts = [f"only {chr(97 + i // 26)}{chr(97 + i % 26)}q here" for i in range(70)]
+    rows = [(i, texts[i % 70], "xx") for i in range(70 * 2 * langid.SAMPLE_TEXTS)]
+    learned = langid.fit(spark.createDataFrame(rows + rows, "doc_id bigint, text string, lang string"))["xx"].decode()
+    assert sum(t in learned for t in texts) == langid.SAMPLE_TEXTS
+
+
 def test_quality_of_held_out_documents(spark):
     docs, labels = documents(spark, "/root/testdata/sf0.1"), read_table(spark, "/root/testdata/sf0.1", "labels")
     found = quality.digest(quality.score(docs, quality.fit(docs, labels)))
