@@ -146,6 +146,38 @@ def test_copies_take_one_place_in_a_language_sample(spark):
     assert sum(t in learned for t in texts) == langid.SAMPLE_TEXTS
 
 
+def test_language_samples_are_filled_from_the_whole_of_texts(spark):
+    rng = random.Random(4)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+
+    header = "zzzzz " * 400
+    long, short = [header + prose(2000) for _ in range(10)], ["12 " * 900 + w for w in ("klmn", "nmlk")]
+    ids = [i for i in range(100) if not held_out(i)]
+    rows = [(i, t, "xx") for i, t in zip(ids, long + short)]
+    rows += [(i, f"yy {t}", "yy") for i, t in zip(ids[20:], short)]
+    got = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert langid.SAMPLE_BYTES - 100 < len(got["xx"]) <= langid.SAMPLE_BYTES
+    assert b"klmn" in got["xx"] and b"nmlk" in got["xx"]
+    assert got["xx"].count(b"zzzzz") < 0.4 * len(got["xx"]) / 6
+    assert sorted(got["yy"].split()) == [b"klmn", b"nmlk", b"yy", b"yy"]
+    learned = set(got["xx"].split())
+    for text in long:  # every stretch of every text
+        words = text.encode().split()
+        assert all(learned.intersection(words[a : a + 700]) for a in range(400, 1700, 650))
+
+
+def test_parts_and_spans_of_texts():
+    assert langid.parts([5, 100, 1000, 0], 300) == [5, 100, 195, 0]
+    assert sorted(langid.parts([700, 700], 1001)) == [500, 501]
+    for size, part in ((10, 10), (10, 0), (10_000, 9_999), (10_000, 769), (5_000, 768), (200_000, 49_152)):
+        found = langid.spans(size, part, -3)
+        assert all(0 <= a <= b <= size for a, b in found)
+        assert all(b <= c for (_, b), (c, _) in zip(found, found[1:]))
+        assert sum(b - a for a, b in found) + max(len(found) - 1, 0) == part
+
+
 def test_quality_of_held_out_documents(spark):
     docs, labels = documents(spark, "/root/testdata/sf0.1"), read_table(spark, "/root/testdata/sf0.1", "labels")
     found = quality.digest(quality.score(docs, quality.fit(docs, labels)))
