@@ -5,7 +5,7 @@ item). For the patterns of one length, a shift table says for each block of two
 search may move on; only where the shift is 0 a bucket of patterns that end in this block is looked
 up, and direct comparison of all words confirms an occurrence.
 
-The benchmark is a side input: it is broadcast in blocks of about ``BLOCK_BYTES`` of text (or one longer item), one
+The benchmark is a side input: it is broadcast in blocks of ``BLOCK_BYTES`` of text (or one longer item), one
 pass over the documents for each block, with what was found so far stored in between. Documents are not shuffled.
 
 Edge cases: NULL and empty texts have no words, are hit nowhere and stay. Items without words give no
@@ -26,6 +26,8 @@ from gridmart.llm.words import alnum_words, slices, texts_of
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+#: Buckets of items per block.
+DEALT = 64
 
 FOUND = "n_words: bigint, spans: array<struct<first: int, stop: int>>, items: array<string>"
 
@@ -86,18 +88,43 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int):
-    """The benchmark in blocks of bounded size; only one block at a time is on the driver."""
+    """The benchmark's different items in blocks of bounded size; only one block at a time is on the driver.
+
+    Items are dealt by hash over ``DEALT`` buckets per block in the mean, and buckets are joined to blocks in order: a
+    block is over ``block_bytes`` only if it is a single bucket.
+    """
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"),
         F.col(text).cast("binary").alias("text"),
     ).filter(F.length("text") > 0)
+    items = keep(items.distinct(), "items")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    for b in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
+    buckets = DEALT * -(-total // block_bytes)
+    bucket = F.pmod(F.xxhash64("item", "text"), F.lit(max(buckets, 1)))
+    if total <= block_bytes:
+        ranges = [(0, max(buckets, 1))]
+    else:
+        sizes = items.groupBy(bucket.alias("bucket")).agg(F.sum(F.length("text")).alias("size"))
+        ranges = joined([tuple(r) for r in sizes.orderBy("bucket").collect()], block_bytes)
+    for first, stop in ranges:
+        own = items.filter((bucket >= first) & (bucket < stop))
         yield [(r["item"], bytes(r["text"])) for r in own.collect()]
 
 
+def joined(sizes: list[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
+    """Ranges of buckets, given as (bucket, size) in order, that hold ``limit`` at most or are one bucket."""
+    ranges: list[tuple[int, int]] = []
+    held = 0
+    for bucket, size in sizes:
+        if ranges and held + size <= limit:
+            ranges[-1] = (ranges[-1][0], bucket + 1)
+            held += size
+        else:
+            ranges.append((bucket, bucket + 1))
+            held = size
+    return ranges
+
+
 def occurrences(
     docs: DataFrame,
     benchmark: DataFrame,

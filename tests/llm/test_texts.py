@@ -58,6 +58,16 @@ def test_decontamination_equals_brute_force(spark, docs, rows, block_bytes):
     )
 
 
+def test_repeated_items_are_dealt_once_into_bounded_blocks(spark):
+    rows = [("same", "one two three " * 20)] * 500 + [(f"i{i}", f"item {i} " * 20) for i in range(100)]
+    rows += [("same", "other text"), (None, "other text"), ("none", None)]
+    bench = spark.createDataFrame(rows, "item_id string, text string").repartition(3)
+    blocks = list(decontaminate.benchmark_blocks(bench, "item_id", "text", 2000))
+    assert sorted(map(str, sum(blocks, []))) == sorted(str((i, t.encode())) for i, t in set(rows) if t)
+    assert all(sum(len(t) for _, t in block) <= 2000 for block in blocks)
+    assert len(blocks) < 20
+
+
 def test_shift_table_skips():
     table = decontaminate.WuManber(10, {tuple(b"%d" % i for i in range(10)): {"a"}})
     assert table.furthest == 9 and table.shift[(b"8", b"9")] == 0 and table.shift[(b"0", b"1")] == 8
