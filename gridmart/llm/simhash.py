@@ -19,7 +19,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gridmart.operators.quantiles import add_buckets
+from gridmart.operators.quantiles import add_buckets, bucket_limits
 
 RADIUS = 3
 BLOCKS = 6
@@ -42,8 +42,9 @@ def in_order(docs: DataFrame, text: str = "text") -> DataFrame:
     keyed = docs.select(
         key.alias("key"), "doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
-    placed = add_buckets(keyed, [], "key", buckets)
-    ids = add_buckets(keyed.select("key"), [], "key", buckets)
+    limits = bucket_limits(keyed, "key", buckets)
+    placed = add_buckets(keyed, [], "key", buckets, limits)
+    ids = add_buckets(keyed.select("key"), [], "key", buckets, limits)
     # One row per bucket from here.
     firsts = ids.groupBy("bucket").agg(F.min("key").alias("least"))
     everything = Window.orderBy("bucket")

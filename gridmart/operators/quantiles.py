@@ -28,16 +28,30 @@ def value_counts(df: DataFrame, columns: list[str], data_type: str) -> DataFrame
     )
 
 
-def add_buckets(df: DataFrame, by: list[str], value: str, buckets: int = BUCKETS) -> DataFrame:
+def bucket_limits(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
+    """One stored row with the limits of ``add_buckets``, for several frames that need the same ones.
+
+    A sketch depends on the order it is merged in, so limits that are computed twice may differ.
+    """
+    steps = [i / buckets for i in range(1, buckets)]
+    limits = F.percentile_approx(value, steps, 20 * buckets).alias("_limits")
+    return stored(df.agg(limits), "limits")
+
+
+def add_buckets(
+    df: DataFrame, by: list[str], value: str, buckets: int = BUCKETS, known: DataFrame | None = None
+) -> DataFrame:
     """Add ``bucket``: all values of a bucket lie below those of the next one.
 
     The limits come from a quantile sketch over the distinct values of ``df``, one row per group
     of ``by``; they are stored and, up to the bound of ``small_side``, broadcast, so that rows are not
-    moved to their group. A row compares itself with every k-th limit and then with the k limits in between.
+    moved to their group. Without ``by``, limits may be ``known`` from ``bucket_limits``. A row compares itself with every k-th limit and then with the k limits in between.
     """
     steps = [i / buckets for i in range(1, buckets)]
     limits = F.percentile_approx(value, steps, 20 * buckets).alias("_limits")
-    if by:
+    if known is not None:
+        cut = df.withColumn("_limits", known.scalar())
+    elif by:
         found = stored(df.groupBy(*by).agg(limits), "limits")
         cut = df.join(small_side(found), by)
     else:

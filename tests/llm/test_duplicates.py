@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gridmart.llm import near_duplicates, simhash, substrings
 from gridmart.llm.components import components
@@ -166,6 +167,19 @@ def test_fingerprint_is_the_weighted_vote(spark):
     assert simhash.compared(docs).first().fingerprint == f"{expected:016x}"
 
 
+def test_simhash_takes_the_limits_of_buckets_once(unique_docs, monkeypatch):
+    """Sketches that differ from one computation to the next change nothing."""
+    expected, whole, calls = sorted(simhash.compared(unique_docs).collect()), F.percentile_approx, []
+
+    def unequal(*args):
+        calls.append(args)
+        shift = 2 * len(calls)
+        return F.transform(whole(*args), lambda x: x + shift)
+
+    monkeypatch.setattr(F, "percentile_approx", unequal)
+    assert sorted(simhash.compared(unique_docs).collect()) == expected
+
+
 def test_all_fingerprints_within_the_radius(spark):
     rng = random.Random(2)
     base = [rng.getrandbits(64) for _ in range(40)]
