@@ -16,9 +16,12 @@ from gridmart.llm import (
     near_duplicates,
     packing,
     quality,
+    repair,
     simhash,
     simple8b,
+    spelling,
     substrings,
+    twins,
 )
 from gridmart.llm.tables import documents, keep, read_table
 from gridmart.session import new_work_path
@@ -94,6 +97,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(_texts(spark, sf_dir)))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spelling.count_words(_texts(spark, sf_dir), change=spelling.typo)
+    return spelling.variants(keep(counted, "vocabulary"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    messages = read_table(spark, sf_dir, "conversations")
+    harmed = repair.damage(messages)
+    audits, repaired = repair.repair(repair.blocks(harmed))
+    return repair.digest(harmed, audits, repaired, messages)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_chat": op2_chat,
@@ -105,6 +121,8 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
     "op10_licenses": op10_licenses,
+    "op11_spelling": op11_spelling,
+    "op13_repair": op13_repair,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,6 +135,8 @@ def _escaped(column: str) -> str:
 
 
 ORACLE = {
+    "op11_spelling": twins.SPELLING,
+    "op13_repair": twins.REPAIR,
     "op2_chat": f"""
 WITH m AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
