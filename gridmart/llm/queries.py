@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import gridmart
 from gridmart.llm import (
     chat,
+    cross_polytope,
     decontaminate,
     langid,
     licenses,
@@ -102,6 +103,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(keep(counted, "vocabulary"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    embeddings = read_table(spark, sf_dir, "embeddings")
+    tables = cross_polytope.fit(embeddings, every=20)
+    return cross_polytope.search(embeddings, tables, every=20)
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     messages = read_table(spark, sf_dir, "conversations")
@@ -122,6 +130,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_licenses": op10_licenses,
     "op11_spelling": op11_spelling,
+    "op12_neighbours": op12_neighbours,
     "op13_repair": op13_repair,
 }
 
