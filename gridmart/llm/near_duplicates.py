@@ -22,7 +22,8 @@ at 0.85 of 1e-9; nothing else is lost.
 
 Edge cases: NULL texts and texts without words have an empty set and are linked with nothing. Texts shorter than a
 shingle have one, of all their words. Rows with a NULL id are linked with nothing and kept. Rows that share an id
-count as one document. An empty table gives no row.
+count as one document, with one ``kept`` for all of them, so `one_of_each` keeps all or none. Columns of any name pass through.
+An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def _sketch(size: int):
             for k in range(COORDINATES if len(filled) else 0):
                 # Nothing stands between the sets of texts that have one.
                 least = np.minimum.reduceat(hashes * _FACTORS[k], begins[filled])
-                tokens[filled, k] = (least >> np.uint64(32)).astype(np.int64) | k << 32
+                tokens[filled, k] = mix(least ^ _FACTORS[k]).view(np.int64)
             raw = hashes.tobytes()
             keys = [
                 xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) if b > a else None
@@ -402,5 +403,7 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The document with the smallest id of each component, with its columns."""
     gone = near_duplicates(docs, shingle, percent).filter("NOT kept").select("doc_id").distinct()
-    # As above: what goes grows with the corpus.
-    return docs.join(keep(gone, "gone").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    # As above: what goes grows with the corpus. A row as one column: its fields may have any names.
+    rows = docs.select(F.struct("*").alias("row"))
+    gone = keep(gone, "gone").hint("merge")
+    return rows.join(gone, F.col("row.doc_id").cast("bigint") == F.col("doc_id"), "left_anti").select("row.*")

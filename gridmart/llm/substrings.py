@@ -1,24 +1,26 @@
 """Removal of passages that stand in an earlier document, by level-wise doubling.
 
-A passage is a window of ``WINDOW`` words whose sequence also starts in a document with a smaller id. Two
-lengths are looked at, half the window and the window:
+A passage is a window of ``WINDOW`` words whose sequence also starts in a document with a smaller id. Windows are looked at
+by lengths that double: 7, 13, 25 and 50 words for a window of 50.
 
-* Level 1, half a window. Of the half windows inside each window only the one with the smallest hash is
-  posted, its anchor (winnowing): equal windows have equal anchors, so nothing is lost, and one posting
-  stands for a dozen windows. Neighbouring windows with the same anchor form a block, posted as
-  (anchor, hash of the block's words). Anchors of a single document drop out.
-* Level 2, twice that length. A block with the words of an earlier document's block is a repeat as a whole.
-  Where an anchor stands in blocks of different words, the earliest block of each kind goes on: the
-  hashes of its full windows are compared one by one, and again only repeated ones survive.
+* Of the shortest pieces inside each window only the one with the smallest hash is posted, its anchor (winnowing): equal
+  windows have equal anchors, so nothing is lost, and one posting stands for some twenty windows. Neighbouring windows
+  with the same anchor form a block. Anchors of a single document drop out.
+* A block with the words of an earlier document's block is a repeat as a whole. Only the earliest block of each
+  content goes on, and only where its anchor stands in blocks of different contents.
+* Each window of these is extended from its anchor to about twice the length, as far as it reaches into the window and else to the
+  left; pieces of that length that only one document has end their windows. So on, level by level, until the
+  whole window is compared, or no candidate survives.
+
+Equality of blocks, pieces and windows is that of two 61-bit polynomial hashes with independent bases over 64-bit hashes of words.
 
 Hot passages: each task drops blocks that it has seen in an earlier document of the same slice before
-anything is shuffled, level 1 reads its postings in sorted order with a state of one block, and
-level 2 is a grouped minimum (combined before the shuffle) joined back, which AQE may split.
-No step gathers more than one document's findings in a row.
+anything is shuffled; from then on every step is a grouped minimum, combined before the shuffle, and a join with it, which
+AQE may split. No step gathers more than one document's findings in a row.
 
 Edge cases: NULL and empty texts have no words. Texts shorter than the window are left alone. Rows with a
 NULL id are left alone and are no source. Rows with the same id don't cut each other, whatever their texts.
-Repeats inside one document stay, unless an earlier one has them. Words are compared by 64-bit hashes.
+Repeats inside one document stay, unless an earlier one has them. Columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -34,23 +36,33 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
 from gridmart.llm.tables import keep
-from gridmart.llm.words import Words, mix, slices, span_hashes, split, texts_of
+from gridmart.llm.words import Words, mix, slices, span_hashes, split, texts_of, windows
 
 WINDOW = 50
 
 _SPAN = pa.struct([("first", pa.int32()), ("n", pa.int32())])
+_BLOCK = [("first", pa.int32()), ("n", pa.int32()), ("anchored", pa.int32())]
 POSTING = pa.schema(
     [
         ("late", pa.bool_()),
         ("anchor", pa.int64()),
         ("block", pa.int64()),
+        ("block2", pa.int64()),
         ("doc_id", pa.int64()),
         ("tag", pa.int64()),
+        *_BLOCK,
+    ]
+)
+PIECE = pa.schema(
+    [
+        ("_id", pa.int64()),
+        ("_tag", pa.int64()),
         ("first", pa.int32()),
-        ("n", pa.int32()),
+        ("starts", pa.list_(pa.int32())),
+        ("hash", pa.int64()),
+        ("hash2", pa.int64()),
     ]
 )
-FOUND = pa.schema([*(POSTING.field(c) for c in ("doc_id", "tag", "first", "n")), ("open", pa.bool_())])
 RESULT = pa.struct(
     [
         ("n_words", pa.int64()),
@@ -63,8 +75,7 @@ PENDING = pa.struct(
     [
         ("text", pa.binary()),
         ("sure", pa.list_(_SPAN)),
-        ("hashes", pa.list_(pa.int64())),
-        ("places", pa.list_(pa.int32())),
+        ("open", pa.list_(pa.struct([*_BLOCK, ("words", pa.list_(pa.int64()))]))),
     ]
 )
 
@@ -85,16 +96,25 @@ def smallest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
+def levels(window: int, least: int = 7) -> list[int]:
+    """Lengths up to the window, each about twice the one before."""
+    found = [window]
+    while found[0] > least:
+        found.insert(0, (found[0] + 1) // 2)
+    return found
+
+
 def blocks_of(words: Words, window: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, block hash, document, first word (in the document), and windows of each block."""
-    empty = (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 3
-    half = (window + 1) // 2
+    """Anchor hash, two block hashes, document, first word (in the document), number of windows, and words from
+    the block's first to its anchor."""
+    empty = (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int64),) * 4
+    shortest = levels(window)[0]
     counts = words.counts()
     starts = np.maximum(counts - window + 1, 0)
     if not starts.sum():
         return empty
-    halves = words.windows(half)
-    anchors = smallest_in_windows(halves, window - half + 1)
+    pieces = words.windows(shortest)
+    anchors = smallest_in_windows(pieces, window - shortest + 1)
     doc = np.repeat(np.arange(len(counts)), starts)
     within = np.arange(len(doc)) - np.repeat(np.cumsum(starts) - starts, starts)
     at = words.first[doc] + within
@@ -104,9 +124,10 @@ def blocks_of(words: Words, window: int) -> tuple[np.ndarray, ...]:
     begin = np.flatnonzero(new)
     n = np.diff(np.append(begin, len(at)))
     first, place = at[begin], anchor[begin]
-    content = span_hashes(words.hashes, first, first + n - 1 + window)
-    content ^= mix((place - first).astype(np.uint64))
-    return halves[place], content, doc[begin], within[begin], n
+    # The place of the anchor follows from the content but for repeats inside it.
+    apart = mix((place - first).astype(np.uint64))
+    contents = [span_hashes(words.hashes, first, first + n - 1 + window, base) ^ apart for base in (0, 1)]
+    return pieces[place], *contents, doc[begin], within[begin], n, place - first
 
 
 def _post(window: int):
@@ -119,16 +140,17 @@ def _post(window: int):
             for begin, end in slices(texts):
                 own = texts[begin:end]
                 tags = np.array([zlib.crc32(t or b"") for t in own], dtype=np.int64)
-                anchor, block, doc, first, n = blocks_of(split(own), window)
+                anchor, block, block2, doc, first, n, anchored = blocks_of(split(own), window)
                 ids_here = ids[begin:end][doc]
-                order = np.lexsort((ids_here, block, anchor))
-                a, b, d = anchor[order], block[order], ids_here[order]
+                order = np.lexsort((ids_here, block2, block, anchor))
+                a, b, b2, d = anchor[order], block[order], block2[order], ids_here[order]
                 new = np.ones(len(order), dtype=bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (b2[1:] != b2[:-1])
                 late = np.zeros(len(order), dtype=bool)
                 if len(order):
                     late[order] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1]
-                columns = [late, anchor.view(np.int64), block.view(np.int64), ids_here, tags[doc], first, n]
+                hashes = (h.view(np.int64) for h in (anchor, block, block2))
+                columns = [late, *hashes, ids_here, tags[doc], first, n, anchored]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c).cast(f.type) for c, f in zip(columns, schema, strict=True)],
                     schema=schema,
@@ -137,48 +159,20 @@ def _post(window: int):
     return run
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted postings to blocks that repeat an earlier document, and blocks that need level 2.
-
-    Between batches only the anchor, its current block's first document, and (while the anchor has one
-    kind of block) that document's rows are kept.
-    """
-    anchor = block = earliest = None
-    several = False
-    pending: list[pa.RecordBatch] = []
-
-    def rows(batch, mask, is_open):
-        part = batch.select(["doc_id", "tag", "first", "n"]).filter(pa.array(mask))
-        column = pa.array(np.full(part.num_rows, is_open))
-        return pa.RecordBatch.from_arrays([*part.columns, column], schema=FOUND)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b, d = (batch.column(c).to_numpy() for c in ("anchor", "block", "doc_id"))
-        new_anchor = np.empty(len(a), dtype=bool)
-        new_anchor[0] = anchor is None or a[0] != anchor
-        new_anchor[1:] = a[1:] != a[:-1]
-        new_block = new_anchor.copy()
-        new_block[0] |= not new_anchor[0] and b[0] != block
-        new_block[1:] |= b[1:] != b[:-1]
-        firsts = np.concatenate(([d[0] if earliest is None else earliest], d[new_block]))
-        late = d > firsts[np.cumsum(new_block)]
-        # Group 0 is the anchor that goes on from the batch before.
-        group = np.cumsum(new_anchor)
-        kinds = np.bincount(group, weights=new_block, minlength=group[-1] + 1)
-        kinds[0] += 1 + several
-        many = kinds >= 2
-        if pending and many[0] and not new_anchor[0]:
-            yield from pending
-        if group[-1] > 0 or many[0]:
-            pending = []
-        yield rows(batch, late, False)
-        yield rows(batch, ~late & many[group], True)
-        several = bool(many[group[-1]])
-        if not several:
-            pending.append(rows(batch, ~late & (group == group[-1]), True))
-        anchor, block, earliest = a[-1], b[-1], firsts[-1]
+def _findings(postings: DataFrame) -> DataFrame:
+    """Blocks that repeat an earlier document, and ``open`` ones, whose windows are still to be compared."""
+    kept = ["doc_id", "tag", "first", "n", "anchored"]
+    here = postings.filter("NOT late").drop("late")
+    shared = here.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b")
+    # Anchors grow with the corpus, so it is the same shuffle join at every size.
+    left = keep(here.join(shared.select("anchor").hint("merge"), "anchor", "left_semi"), "shared-blocks")
+    contents = left.groupBy("anchor", "block", "block2").agg(F.min("doc_id").alias("earliest"))
+    several = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
+    known = contents.join(several, "anchor", "left").select("anchor", "block", "block2", "earliest", "contents")
+    told = left.join(known, ["anchor", "block", "block2"])
+    late = F.col("doc_id") > F.col("earliest")
+    told = told.filter(late | F.col("contents").isNotNull()).select(*kept, (~late).alias("open"))
+    return told.unionByName(postings.filter("late").select(*kept, F.lit(False).alias("open")))
 
 
 def _remove(text: bytes, covered: list[tuple[int, int]], window: int) -> tuple[int, int, bytes]:
@@ -202,18 +196,18 @@ def _result(text: bytes, covered: list[tuple[int, int]], window: int, texts: boo
 
 
 def _settle(window: int, texts: bool):
-    """Results of documents without open blocks; for the others the hashes of their open windows."""
+    """Results of documents without open blocks; for the others these blocks, with hashes of their words."""
 
     def one(text: bytes | None, found: list[dict] | None) -> tuple[dict | None, dict | None]:
         text, found = text or b"", found or []
         sure = [(f["first"], f["n"]) for f in found if not f["open"]]
-        opened = [(f["first"], f["n"]) for f in found if f["open"]]
+        opened = [f for f in found if f["open"]]
         if not opened:
             return _result(text, sure, window, texts), None
-        hashes = split([text]).windows(window).view(np.int64)
-        places = np.concatenate([np.arange(a, a + n) for a, n in opened])
-        sure = [{"first": a, "n": n} for a, n in sure]
-        return None, dict(text=text, sure=sure, hashes=hashes[places], places=places)
+        hashes = split([text]).hashes.view(np.int64)
+        for f in opened:
+            f["words"] = hashes[f["first"] : f["first"] + f["n"] - 1 + window]
+        return None, dict(text=text, sure=[{"first": a, "n": n} for a, n in sure], open=opened)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,6 +226,52 @@ def _settle(window: int, texts: bool):
     return run
 
 
+def _pieces(window: int, length: int):
+    """The pieces of one length of a block's windows that are still alive.
+
+    A window's piece starts at the anchor, or as far to the left as it must to lie in the window.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made: list[dict] = []
+            for row in batch.to_pylist():
+                hashes = np.array(row["words"], dtype=np.int64).view(np.uint64)
+                both = [windows(hashes, length, base).view(np.int64).tolist() for base in (0, 1)]
+                of: dict[int, list[int]] = {}
+                for start in row["alive"]:
+                    of.setdefault(min(row["anchored"], start + window - length), []).append(start)
+                key = {c: row[c] for c in ("_id", "_tag", "first")}
+                made += [{**key, "starts": s, "hash": both[0][p], "hash2": both[1][p]} for p, s in of.items()]
+            yield pa.RecordBatch.from_pylist(made, schema=PIECE)
+
+    return run
+
+
+def _repeated_windows(blocks: DataFrame, window: int) -> DataFrame:
+    """``_id, _tag, place`` of each window of open blocks that an earlier document has, level by level."""
+    key = ["_id", "_tag", "first"]
+    alive = blocks.dropDuplicates(key).withColumn("alive", F.sequence(F.lit(0), F.col("n") - 1))
+    for length in levels(window)[1:] or [window]:
+        pieces = alive.mapInArrow(_pieces(window, length), _spark(PIECE))
+        repeated = (
+            pieces.groupBy("hash", "hash2")
+            .agg(F.min("_id").alias("earliest"), F.max("_id").alias("latest"))
+            .filter("earliest < latest")
+        )
+        left = pieces.join(repeated, ["hash", "hash2"])
+        if length == window:
+            break
+        starts = left.groupBy(*key).agg(F.flatten(F.collect_list("starts")).alias("alive"))
+        alive = keep(alive.drop("alive").join(starts, key), "alive-blocks")
+        if alive.isEmpty():
+            break
+    late = left.filter(F.col("_id") > F.col("earliest")) if length == window else left.filter(F.lit(False))
+    return late.select("_id", "_tag", F.explode("starts").alias("start"), "first").select(
+        "_id", "_tag", (F.col("first") + F.col("start")).alias("place")
+    )
+
+
 def _finish(window: int, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,18 +297,10 @@ def remove_repeats(
     key = F.col("doc_id").cast("bigint")
     posted = docs.select(key, F.col(text).cast("string")).filter(F.col("doc_id").isNotNull())
     postings = keep(posted.mapInArrow(_post(window), _spark(POSTING)), "blocks")
-    sorted_postings = (
-        postings.filter("NOT late")
-        .drop("late")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor", "block", "doc_id")
-    )
-    found = sorted_postings.mapInArrow(_compare, _spark(FOUND)).unionByName(
-        postings.filter("late").select("doc_id", "tag", "first", "n", F.lit(False).alias("open"))
-    )
+    found = _findings(postings)
     # One document's blocks.
     by_doc = found.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(
-        F.collect_list(F.struct("first", "n", "open")).alias("_found")
+        F.collect_list(F.struct("first", "n", "anchored", "open")).alias("_found")
     )
     row = F.struct("*") if texts else F.struct("doc_id")
     body = F.col(text).cast("string")
@@ -288,20 +320,8 @@ def remove_repeats(
         "settled",
     )
     left = settled.filter("pending IS NOT NULL").select("row", "_id", "_tag", "pending.*")
-    windows = left.select(
-        "_id", "_tag", F.inline(F.arrays_zip("hashes", "places")).alias("hash", "place")
-    )
-    repeated = (
-        windows.groupBy("hash")
-        .agg(F.min("_id").alias("earliest"), F.max("_id").alias("latest"))
-        .filter("earliest < latest")
-    )
-    late = (
-        windows.join(repeated.select("hash", "earliest"), "hash")
-        .filter("_id > earliest")
-        .groupBy("_id", "_tag")
-        .agg(F.collect_list("place").alias("_late"))
-    )
+    blocks = keep(left.select("_id", "_tag", F.inline("open")), "open-blocks")
+    late = _repeated_windows(blocks, window).groupBy("_id", "_tag").agg(F.collect_list("place").alias("_late"))
     finished = (
         left.select("row", "_id", "_tag", "text", "sure")
         .join(late, ["_id", "_tag"], "left")
@@ -319,10 +339,14 @@ def digest(removed: DataFrame) -> DataFrame:
 
 def shortened(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents, with what is left of their text; ``n_chars`` follows where there is one."""
-    whole = remove_repeats(docs, window).select("row.*", F.col("result.kept").alias("_kept"))
-    new = whole.withColumn("text", F.coalesce("_kept", "text"))
+    whole = remove_repeats(docs, window)
+    kept, kind = F.col("result.kept"), docs.schema["text"].dataType
+    changes = [F.coalesce(kept, F.col("row.text").cast("string")).cast(kind).alias("text")]
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        length = F.length("text").cast(kind)
-        new = new.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), length).otherwise(F.col("n_chars")))
-    return new.drop("_kept")
+        length = F.length(kept).cast(docs.schema["n_chars"].dataType)
+        changes.append(F.when(kept.isNotNull(), length).otherwise(F.col("row.n_chars")).alias("n_chars"))
+    # Fields of the row in their order, whatever their names.
+    changed = {c: change for c, change in zip(("text", "n_chars"), changes)}
+    return whole.select(
+        *(changed.get(c, F.col("row").getField(c).alias(c)) for c in docs.columns)
+    )

@@ -11,13 +11,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE = 1 << 20
 SPACES = b" \t\n\x0b\x0c\r"
 
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Spans are hashed as polynomials modulo this prime: for a modulus of 2^64 some strings collide whatever the base.
+PRIME = (1 << 61) - 1
+#: Independent bases; two hashes together decide where equality removes something.
+BASES = (0x0B7E151628AED2A6 % PRIME, 0x1A0F5C3D97E4B8C3 % PRIME)
+#: Pieces of eight bytes of a word that are hashed in step; the rest of a longer word goes to xxh3.
+PIECES = 64
 
 
 def separators(keep: bytes | None = None) -> np.ndarray:
@@ -74,29 +78,84 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_P = np.uint64(PRIME)
+_31, _30, _61 = np.uint64(31), np.uint64(30), np.uint64(61)
+_LOW31, _LOW30 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers modulo the prime."""
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of residues modulo the prime, from halves of 30 and 31 bits."""
+    a_high, a_low, b_high, b_low = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    middle = a_high * b_low + a_low * b_high
+    total = (a_high * b_high << np.uint64(1)) + (middle >> _30) + ((middle & _LOW30) << _31) + a_low * b_low
+    return _residue(total)
+
+
 _powers: dict[int, np.ndarray] = {}
 
 
 def _powers_of(base: int, n: int) -> np.ndarray:
     found = _powers.get(base)
     if found is None or len(found) < n:
-        found = np.full(max(n, SLICE + 2), base, dtype=np.uint64)
-        found[0] = 1
-        found = np.cumprod(found)
+        found, step = np.ones(1, dtype=np.uint64), base
+        while len(found) < max(n, SLICE // 4):
+            found = np.concatenate([found, times(found, np.uint64(step))])
+            step = step * step % PRIME
         if n <= 4 * SLICE:
             _powers[base] = found
     return found[:n]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = 0) -> np.ndarray:
     """Hash of values[s:e] for every span, equal for equal contents wherever they stand."""
     n = len(values)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * _powers_of(_BASE, n), out=sums[1:])
-    hashed = sums[ends] - sums[starts]
-    hashed *= _powers_of(_INVERSE, n + 1)[starts]
-    return mix(hashed)
+    terms = times(_residue(values), _powers_of(BASES[base], n))
+    # Sums of halves fit 64 bits for 2^33 terms.
+    low, high = np.zeros(n + 1, dtype=np.uint64), np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(terms & _LOW31, out=low[1:])
+    np.cumsum(terms >> _31, out=high[1:])
+    above = _residue(high[ends] - high[starts])
+    total = ((above << _31) & _P) + (above >> _30) + _residue(low[ends] - low[starts])
+    inverse = pow(BASES[base], -1, PRIME)
+    return mix(times(_residue(total), _powers_of(inverse, n + 1)[starts]))
+
+
+_LENGTH, _PIECE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+
+
+def word_hashes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every span of bytes, by pieces of eight."""
+    padded = buffer + bytes(8)
+    pieces = np.ndarray((len(buffer) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    left = (ends - starts).astype(np.int64)
+    hashes = mix(left.astype(np.uint64) * _LENGTH)
+    on, place = np.arange(len(left)), np.asarray(starts, dtype=np.int64)
+    for _ in range(PIECES):
+        if not len(on):
+            break
+        rest = left[on]
+        mask = np.full(len(on), (1 << 64) - 1, dtype=np.uint64)
+        short = rest < 8
+        mask[short] = (np.uint64(1) << (rest[short] * 8).astype(np.uint64)) - np.uint64(1)
+        hashes[on] = mix((hashes[on] ^ (pieces[place] & mask)) + _PIECE)
+        left[on] = rest - 8
+        further = rest > 8
+        on, place = on[further], place[further] + 8
+    for i, begin in zip(on.tolist(), place.tolist(), strict=True):
+        hashes[i] ^= np.uint64(xxhash.xxh3_64_intdigest(buffer[begin : ends[i]]))
+    return hashes
+
+
+def windows(hashes: np.ndarray, n: int, base: int = 0) -> np.ndarray:
+    """Hash of n hashes from each one on, as far as there are n to the end."""
+    at = np.arange(max(0, len(hashes) - n + 1))
+    return span_hashes(hashes, at, at + n, base)
 
 
 @dataclass
@@ -117,11 +176,7 @@ class Words:
 
     def windows(self, n: int) -> np.ndarray:
         """Hash of the n words from each word on, as far as there are n words to the end."""
-        total = len(self.hashes)
-        if total < n:
-            return np.zeros(0, dtype=np.uint64)
-        at = np.arange(total - n + 1)
-        return span_hashes(self.hashes, at, at + n)
+        return windows(self.hashes, n)
 
 
 def split(texts: list[bytes | None], table: np.ndarray = BY_SPACE, lower: bool = False) -> Words:
@@ -138,6 +193,6 @@ def split(texts: list[bytes | None], table: np.ndarray = BY_SPACE, lower: bool =
     sizes = np.fromiter((len(t) + 1 if t else 1 for t in texts), dtype=np.int64, count=len(texts))
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     first = np.searchsorted(starts, offsets)
-    return Words(buffer, starts, ends, first, span_hashes(_BYTE_VALUES[data], starts, ends))
+    return Words(buffer, starts, ends, first, word_hashes(buffer, starts, ends))
 
 

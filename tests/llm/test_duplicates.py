@@ -5,7 +5,6 @@ import random
 from collections import defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,24 +48,74 @@ def test_shortened_documents_keep_their_columns(docs, rows):
             assert kept == text
 
 
-@pytest.mark.parametrize("size", [1, 2, 5, 1000])
-def test_comparison_doesnt_depend_on_batches(size):
-    rng = random.Random(3)
-    rows = sorted((rng.randrange(6), rng.randrange(4), rng.randrange(9), 0, k, 1) for k in range(200))
-    names = ["anchor", "block", "doc_id", "tag", "first", "n"]
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2
-    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-    got = pa.Table.from_batches(list(substrings._compare(iter(table.to_batches(max_chunksize=size)))))
-    earliest, kinds_of = {}, defaultdict(set)
-    for a, b, d, *_ in rows:
-        earliest.setdefault((a, b), d)
-        kinds_of[a].add(b)
-    expected = []
-    for a, b, d, tag, first, n in rows:
-        late = d > earliest[a, b]
-        if late or len(kinds_of[a]) > 1:
-            expected.append((d, tag, first, n, not late))
-    assert sorted(tuple(r.values()) for r in got.to_pylist()) == sorted(expected)
+@pytest.mark.parametrize("window, letters", [(3, 2), (10, 2), (10, 3), (15, 2), (24, 2)])
+def test_repetitive_texts_equal_brute_force(spark, window, letters):
+    """Few different words: anchors with ties, blocks that overlap, contents that differ by a word."""
+    rng = random.Random(window * letters)
+    base = [rng.choice("abc"[:letters]) for _ in range(400)]
+    rows = []
+    for i in range(30):
+        words = [rng.choice("abc"[:letters]) for _ in range(rng.randrange(40))]
+        at = rng.randrange(350)
+        part = base[at : at + rng.randrange(60)]
+        if part and rng.random() < 0.4:
+            part[rng.randrange(len(part))] = "z"
+        rows.append((i * 7 % 31, " ".join(words + part + ["y"] * (i % 3))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = substrings.digest(substrings.remove_repeats(df, window)).collect()
+    assert sorted(map(tuple, got), key=str) == removed(rows, window)
+
+
+def test_levels_double_up_to_the_window():
+    assert substrings.levels(50) == [7, 13, 25, 50] and substrings.levels(7) == [7] and substrings.levels(3) == [3]
+
+
+def thue_morse(a, b, times=10):
+    """Two words that every polynomial modulo 2^64 takes for equal."""
+    x, y = a, b
+    for _ in range(times):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_words_that_collide_modulo_a_power_of_two(spark):
+    one, other = thue_morse("a", "b")
+    assert len(one) == 1024
+    rest = " ".join(f"w{k}" for k in range(49))
+    rows = [(1, f"{one} {rest}"), (2, f"{other} {rest}")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = substrings.digest(substrings.remove_repeats(df)).collect()
+    assert sorted(map(tuple, got), key=str) == removed(rows, 50) and {r.n_removed for r in got} == {0}
+    alone = [(1, one), (2, other), (3, one)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(alone, "doc_id bigint, text string"), shingle=4)
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got.collect()) == [(1, 1, True), (2, 2, True), (3, 1, False)]
+    # The same pattern of words, in windows longer than the contract's.
+    first, second = (" ".join(x) for x in thue_morse("a", "b", 11))
+    words = [(1, first), (2, second)]
+    got = substrings.digest(substrings.remove_repeats(spark.createDataFrame(words, "doc_id bigint, text string"), 2048))
+    assert {r.n_removed for r in got.collect()} == {0}
+
+
+def test_columns_of_any_name(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    names = ["_kept", "a.b", "a`b", "_id", "_found", "gone", "id", "anchor", "n_chars", "kept"]
+    schema = "doc_id int, text string, " + ", ".join("`" + n.replace("`", "``") + "` int" for n in names)
+    df = spark.createDataFrame([(i, text, *range(len(names))) for i in (1, 2)], schema)
+    short = substrings.shortened(df)
+    assert short.schema.names == df.schema.names and sorted(r.text for r in short.collect()) == ["", text]
+    assert sorted(tuple(r)[2:10] for r in short.collect()) == [tuple(range(8))] * 2
+    one = near_duplicates.one_of_each(df)
+    assert one.schema.names == df.schema.names and [tuple(r) for r in one.collect()] == [(1, text, *range(len(names)))]
+
+
+def test_signature_tokens_of_strangers_differ():
+    """Random sets of 1,000 shingles: no value is shared by chance."""
+    rng = np.random.default_rng(8)
+    factor, seen = near_duplicates._FACTORS[0], []
+    for _ in range(20):
+        hashes = rng.integers(0, 1 << 64, size=(5_000, 1_000), dtype=np.uint64)
+        seen.append(near_duplicates.mix((hashes * factor).min(axis=1) ^ factor))
+    assert len(np.unique(np.concatenate(seen))) == 100_000
 
 
 def shingle_set(text, size):
