@@ -48,13 +48,20 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, "<u8"), np.zeros(0, "<u4")
     large = ids > _LARGEST
     needs = np.where(large, 0, _NEEDS[np.where(large, 0, ids)])
-    # From each place: the narrowest selector whose whole word fits, or ends the block.
-    at = np.arange(n, dtype=np.int32)
+    # From each place: the narrowest selector whose whole word fits, or ends the block. Runs of ids that
+    # fit a selector lie between those that do not.
     chosen = np.full(n, len(SELECTORS) - 1, dtype=np.int8)
     for s in range(len(SELECTORS) - 2, -1, -1):
-        bad = np.where(needs > s, at, n)
-        following = np.minimum.accumulate(bad[::-1])[::-1]
-        chosen[(following - at >= SELECTORS[s][0]) | (following == n)] = s
+        bad = np.flatnonzero(needs > s)
+        if not len(bad):
+            chosen[:] = s
+            continue
+        chosen[bad[-1] + 1 :] = s
+        run = np.diff(bad, prepend=-1) - SELECTORS[s][0]
+        long = run > 0
+        length, stop = run[long], bad[long] - SELECTORS[s][0] + 1
+        cells = np.repeat(stop - np.cumsum(length), length) + np.arange(length.sum())
+        chosen[cells] = s
     steps = _COUNTS[chosen].tolist()
     places, i = [], 0
     while i < n:

@@ -5,7 +5,8 @@ characters a single space always ends a piece, so a text may be cut there, each
 once in a task, and the ids put together: the same ids as from encoding the text in one go, at a tenth of
 the time. The ids of a chunk come from the tokenizers library: from its model, piece by piece, where all
 characters lie below ``PLAIN`` (there the piece pattern is the same in every Unicode version), else from
-encoding the whole chunk. Special tokens' strings in a text are ordinary text.
+encoding the whole chunk. Strings of special tokens in a text are those tokens, as in a plain call of the library;
+the text between them is encoded part by part.
 
 Edge cases: NULL and empty texts have no ids. Texts whose spaces stand together are cut at single spaces
 between visible characters only. Memory: ``MEMO`` chunks at most are remembered.
@@ -64,7 +65,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            self._read_kind(json.load(file))
+            spec = json.load(file)
+        self._read_kind(spec)
+        self._read_added(spec.get("added_tokens", []))
         self.translation = _byte_characters()
         self.shown_lead = {"": "", " ": self.translation[ord(" ")]}
         self.model = self.tokenizer.model
@@ -90,6 +93,15 @@ class Encoder:
             raise ValueError("neither a byte-level nor a word-wise tokenizer file")
         self.pattern = regex.compile(pattern)
 
+    def _read_added(self, added: list[dict]) -> None:
+        """Strings that are cut out of the raw text before anything else."""
+        if any(t[c] for t in added for c in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("only tokens that stand for exactly their string")
+        self.added = {t["content"]: _pack([t["id"]]) for t in added}
+        # Of strings that begin at one place the longest is taken.
+        in_order = sorted(self.added, key=len, reverse=True)
+        self.any_added = re.compile("(" + "|".join(map(re.escape, in_order)) + ")") if added else None
+
     def _piece(self, piece: str) -> bytes:
         return self._ids(piece.encode().decode("latin-1").translate(self.translation))
 
@@ -142,6 +154,14 @@ class Encoder:
         return self._chunk(" " + chunk)
 
     def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if any(map(text.__contains__, self.added)):
+            parts = self.any_added.split(text)
+            return b"".join([self.added[p] if k % 2 else self._plain(p) for k, p in enumerate(parts)])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.spaces:

@@ -18,7 +18,6 @@ FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 
 def plain(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda t: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4")
 
 
@@ -32,6 +31,18 @@ def test_remembered_chunks_give_the_ids_of_whole_texts(name):
     assert ours.encode(None) == b""
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_special_strings_at_every_place(name):
+    ours, theirs = Encoder(public_tokenizers.path(name)), plain(name)
+    around = ["Don't stop, é 12.", "a\n\n b ", " ", "", "<|", "|> \n", "e\u0301"]
+    special = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|", "<|endoftext|><|endoftext|>"]
+    texts = [a[:i] + s + a[i:] + b for a in around for i in range(len(a) + 1) for s in special for b in around]
+    rng = random.Random(2)
+    texts += ["".join(rng.choice([*special, *around, "x", " "]) for _ in range(8)) for _ in range(1500)]
+    assert [t for t in texts if ours.encode(t) != theirs(t).tobytes()] == []
+    assert ours.encode("a<|endoftext|>").endswith(theirs("<|endoftext|>").tobytes())
+
+
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 40) | st.just(0) | st.integers(32000, 33000)))
 @settings(max_examples=200, deadline=None)
 def test_simple8b_round_trip(ids):
