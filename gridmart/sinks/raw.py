@@ -8,48 +8,30 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from gridmart.sources.landing import scan_with_provenance
+from gridmart.sinks import versions
+from gridmart.sources.landing import fingerprints, scan_with_provenance, schema_classes
 
 
-def replace_by_source_file(df: DataFrame, path: str, files: list[str]) -> None:
+SCHEMA = (
+    "record variant, source_dataset string, source_year int, "
+    "loaded_at timestamp, source_file string"
+)
+
+
+def replace_by_source_file(
+    df: DataFrame, path: str, files: list[str], known: dict[str, dict] | None = None
+) -> None:
     """Replace the rows of ``files`` in the raw table at ``path`` by ``df``; keep all others.
 
-    The table is partitioned by ``source_file`` and one job overwrites the
-    partitions it has rows for, so writing the same file twice changes nothing
-    and a job that fails before its commit leaves the old rows. A file that now
-    yields no rows has no partition to overwrite; its old one is removed after
-    the commit. The input is computed once: which folders were written shows in the names of their files.
+    Readers see the table before or after, never in between (`versions`). Loading a file twice changes nothing;
+    a file that now yields no rows is no longer there. The input is computed once.
     """
-    spark = df.sparkSession
-    before = {key: _partition(spark, path, key) for key in files}
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_file")
-        .parquet(path)
-    )
-    for key, (store, folder, names) in before.items():
-        # Every write gives its files new names; a folder that still has the old ones was not written.
-        if names and names == _partition(spark, path, key)[2]:
-            store.delete(folder, True)
-
-
-def _partition(spark: SparkSession, path: str, key: str):
-    """The file system, the folder of a source file's rows, and the names of the files in it."""
-    jvm = spark.sparkContext._jvm
-    utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    folder = jvm.org.apache.hadoop.fs.Path(path, "source_file=" + utils.escapePathName(key))
-    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = store.listStatus(folder) if store.exists(folder) else []
-    return store, folder, {status.getPath().getName() for status in found}
-
-
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    schema = (
-        "record variant, source_dataset string, source_year int, "
-        "loaded_at timestamp, source_file string"
-    )
-    return spark.read.schema(schema).parquet(path)
+    versions.replace(df, path, files, known)
+
+
+def read_raw(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """The raw table as it is at this moment, or the rows of some source files."""
+    return versions.read(spark, path, SCHEMA, files)
 
 
 def merged_schema(one: T.StructType, other: T.StructType) -> T.StructType:
@@ -82,29 +64,42 @@ def read_schema(spark: SparkSession, out: str, table: str) -> T.StructType | Non
     return T.StructType.fromJson(json.loads(spark.read.text(_schema_path(out, table)).first()[0]))
 
 
-def _keep_schema(spark: SparkSession, out: str, table: str, root: str, keys: list[str]) -> None:
-    found = read_schema(spark, out, table) or T.StructType()
-    for key in keys:  # only footers are read
-        found = merged_schema(found, spark.read.parquet(f"{root.rstrip('/')}/{key}").schema)
-    text = spark.createDataFrame([(found.json(),)], "value string").coalesce(1)
+def _keep_schema(spark: SparkSession, out: str, table: str, found: list[T.StructType]) -> None:
+    merged = read_schema(spark, out, table) or T.StructType()
+    for schema in found:
+        merged = merged_schema(merged, schema)
+    text = spark.createDataFrame([(merged.json(),)], "value string").coalesce(1)
     text.write.mode("overwrite").text(_schema_path(out, table))
 
 
-def load_landed(spark: SparkSession, status: DataFrame, root: str, out: str) -> dict[str, int]:
+def load_landed(
+    spark: SparkSession, status: DataFrame, root: str, out: str, skip_unchanged: bool = False
+) -> dict[str, int]:
     """Load every uploaded file of a manifest into its raw table under ``out``.
 
-    One write per raw table; the number of files per table is returned. No
+    One write per raw table; the number of files loaded per table is returned. No
     uploaded files means no work. The first table that fails ends the batch,
-    tables already written stay.
+    tables already written stay. With ``skip_unchanged`` a file with the fingerprint (size, parts and time
+    of change) of its last load is left alone.
     """
     entries = status.filter(F.col("status") == "uploaded").orderBy("source_key").collect()
     tables = defaultdict(list)
     for entry in entries:
         tables[entry["raw_table"]].append(entry)
+    prints = fingerprints(spark, root) if entries else {}
+    loaded = {}
     for table, rows in tables.items():
+        path = f"{out.rstrip('/')}/{table}"
+        if skip_unchanged:
+            now = versions.current(spark, path)
+            before = {k: v.get("print") for k, v in now.files.items()} if now else {}
+            rows = [r for r in rows if before.get(r["source_key"]) != prints.get(r["source_key"])]
+            if not rows:
+                continue
         keys = [row["source_key"] for row in rows]
-        replace_by_source_file(
-            scan_with_provenance(spark, root, rows), f"{out.rstrip('/')}/{table}", keys
-        )
-        _keep_schema(spark, out, table, root, keys)
-    return {table: len(rows) for table, rows in tables.items()}
+        classes = schema_classes(spark, root, keys)
+        known = {k: {"print": prints[k]} for k in keys if k in prints}
+        replace_by_source_file(scan_with_provenance(spark, root, rows, classes), path, keys, known)
+        _keep_schema(spark, out, table, [schema for schema, _ in classes])
+        loaded[table] = len(rows)
+    return loaded
