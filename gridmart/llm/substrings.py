@@ -58,7 +58,8 @@ PIECE = pa.schema(
         ("_id", pa.int64()),
         ("_tag", pa.int64()),
         ("first", pa.int32()),
-        ("starts", pa.list_(pa.int32())),
+        ("low", pa.int32()),
+        ("high", pa.int32()),
         ("hash", pa.int64()),
         ("hash2", pa.int64()),
     ]
@@ -75,7 +76,7 @@ PENDING = pa.struct(
     [
         ("text", pa.binary()),
         ("sure", pa.list_(_SPAN)),
-        ("open", pa.list_(pa.struct([*_BLOCK, ("words", pa.list_(pa.int64()))]))),
+        ("open", pa.list_(pa.struct([*_BLOCK, ("words", pa.binary())]))),
     ]
 )
 
@@ -204,9 +205,9 @@ def _settle(window: int, texts: bool):
         opened = [f for f in found if f["open"]]
         if not opened:
             return _result(text, sure, window, texts), None
-        hashes = split([text]).hashes.view(np.int64)
+        hashes = split([text]).hashes
         for f in opened:
-            f["words"] = hashes[f["first"] : f["first"] + f["n"] - 1 + window]
+            f["words"] = hashes[f["first"] : f["first"] + f["n"] - 1 + window].tobytes()
         return None, dict(text=text, sure=[{"first": a, "n": n} for a, n in sure], open=opened)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,23 +228,41 @@ def _settle(window: int, texts: bool):
 
 
 def _pieces(window: int, length: int):
-    """The pieces of one length of a block's windows that are still alive.
+    """The pieces of one length of a block's windows that are still alive, with the windows that share each.
 
-    A window's piece starts at the anchor, or as far to the left as it must to lie in the window.
+    A window's piece starts at the anchor, or as far to the left as it must to lie in the window. Windows whose piece
+    starts at the anchor are neighbours and have had the same fate before; the others have a piece of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made: list[dict] = []
-            for row in batch.to_pylist():
-                hashes = np.array(row["words"], dtype=np.int64).view(np.uint64)
-                both = [windows(hashes, length, base).view(np.int64).tolist() for base in (0, 1)]
-                of: dict[int, list[int]] = {}
-                for start in row["alive"]:
-                    of.setdefault(min(row["anchored"], start + window - length), []).append(start)
-                key = {c: row[c] for c in ("_id", "_tag", "first")}
-                made += [{**key, "starts": s, "hash": both[0][p], "hash2": both[1][p]} for p, s in of.items()]
-            yield pa.RecordBatch.from_pylist(made, schema=PIECE)
+            if not batch.num_rows:
+                continue
+            words = batch.column("words").to_pylist()
+            sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) // 8
+            begins = np.cumsum(sizes) - sizes
+            hashes = np.frombuffer(b"".join(words), dtype=np.uint64)
+            alive = batch.column("alive")
+            low, high = (alive.flatten().field(i).to_numpy().astype(np.int64) for i in (0, 1))
+            block = np.repeat(np.arange(len(words)), alive.value_lengths().to_numpy())
+            # Every window of every range, then its piece.
+            number = high - low + 1
+            start = np.repeat(low - np.cumsum(number) + number, number) + np.arange(number.sum())
+            block = np.repeat(block, number)
+            anchored = batch.column("anchored").to_numpy().astype(np.int64)[block]
+            place = np.minimum(anchored, start + window - length)
+            order = np.lexsort((start, block))
+            block, start, place = block[order], start[order], place[order]
+            new = np.ones(len(block), dtype=bool)
+            new[1:] = (block[1:] != block[:-1]) | (place[1:] != place[:-1])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(block)) - 1
+            own, at = block[first], begins[block[first]] + place[first]
+            keys = [batch.column(c).take(pa.array(own)) for c in ("_id", "_tag", "first")]
+            found = [windows(hashes, length, base)[at].view(np.int64) for base in (0, 1)]
+            bounds = [start[first].astype(np.int32), start[last].astype(np.int32)]
+            columns = [*keys, *map(pa.array, [*bounds, *found])]
+            yield pa.RecordBatch.from_arrays(columns, schema=PIECE)
 
     return run
 
@@ -251,7 +270,8 @@ def _pieces(window: int, length: int):
 def _repeated_windows(blocks: DataFrame, window: int) -> DataFrame:
     """``_id, _tag, place`` of each window of open blocks that an earlier document has, level by level."""
     key = ["_id", "_tag", "first"]
-    alive = blocks.dropDuplicates(key).withColumn("alive", F.sequence(F.lit(0), F.col("n") - 1))
+    whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("n") - 1).alias("high")))
+    alive = blocks.dropDuplicates(key).withColumn("alive", whole)
     for length in levels(window)[1:] or [window]:
         pieces = alive.mapInArrow(_pieces(window, length), _spark(PIECE))
         repeated = (
@@ -262,12 +282,12 @@ def _repeated_windows(blocks: DataFrame, window: int) -> DataFrame:
         left = pieces.join(repeated, ["hash", "hash2"])
         if length == window:
             break
-        starts = left.groupBy(*key).agg(F.flatten(F.collect_list("starts")).alias("alive"))
-        alive = keep(alive.drop("alive").join(starts, key), "alive-blocks")
+        ranges = left.groupBy(*key).agg(F.collect_list(F.struct("low", "high")).alias("alive"))
+        alive = keep(alive.drop("alive").join(ranges, key), "alive-blocks")
         if alive.isEmpty():
             break
     late = left.filter(F.col("_id") > F.col("earliest")) if length == window else left.filter(F.lit(False))
-    return late.select("_id", "_tag", F.explode("starts").alias("start"), "first").select(
+    return late.select("_id", "_tag", F.explode(F.sequence("low", "high")).alias("start"), "first").select(
         "_id", "_tag", (F.col("first") + F.col("start")).alias("place")
     )
 
