@@ -9,6 +9,7 @@ from gridmart.operators import (
     conditional_rollup,
     normalize_codes,
     pick_order,
+    running,
     unpivot_roles,
 )
 from gridmart.plans import columns as C
@@ -149,22 +150,16 @@ def fct_game(games: DataFrame, plays: DataFrame) -> DataFrame:
     return games.join(game_measures(plays), "game_id", "left").select(*C.FCT_GAME)
 
 
-def fct_player_game(plays: DataFrame, games: DataFrame) -> DataFrame:
-    """One row per player and game over all roles; a play counts once per role.
-
-    Role rows are first combined per franchise. That partial result gives both the
-    totals and the main franchise (most role rows, then the smallest id; no
-    franchise is a candidate too), so nothing is joined back to the role rows.
-    """
-    key = ["game_id", "player_id"]
+def player_states(plays: DataFrame, *more: str) -> DataFrame:
+    """Role rows combined per game, player and franchise (and ``more`` columns): counts, sums and maxima, which
+    can be combined again."""
     real = F.col("no_play") == 0
     roles = unpivot_roles(
         plays.withColumn("no_play", F.when(is_no_play(), 1).otherwise(0)),
         PLAYER_ROLES,
-        ["game_id", "season", "nfl_week", "offense_franchise_id", "no_play", "epa"],
+        ["game_id", "season", "nfl_week", "offense_franchise_id", "no_play", "epa", *more],
     ).withColumnRenamed("offense_franchise_id", "franchise_id")
-    counts = [f"{role}_play_count" for role in PLAYER_ROLES]
-    per_franchise = roles.groupBy(*key, "franchise_id").agg(
+    return roles.groupBy("game_id", "player_id", "franchise_id", *more).agg(
         F.max("season").alias("season"),
         F.max("nfl_week").alias("nfl_week"),
         F.count(F.lit(1)).alias("play_count"),
@@ -172,7 +167,12 @@ def fct_player_game(plays: DataFrame, games: DataFrame) -> DataFrame:
         *[F.sum(f"is_{role}").alias(f"{role}_play_count") for role in PLAYER_ROLES],
         F.sum(F.when(real, F.coalesce("epa", F.lit(0.0))).otherwise(F.lit(0.0))).alias("epa_sum"),
     )
-    per_player = per_franchise.groupBy(*key).agg(
+
+
+def player_games(per_franchise: DataFrame, games: DataFrame) -> DataFrame:
+    """One row per player and game from the states per franchise."""
+    counts = [f"{role}_play_count" for role in PLAYER_ROLES]
+    per_player = per_franchise.groupBy("game_id", "player_id").agg(
         F.max("season").alias("season"),
         F.max("nfl_week").alias("nfl_week"),
         F.min_by(
@@ -188,3 +188,31 @@ def fct_player_game(plays: DataFrame, games: DataFrame) -> DataFrame:
         .withColumn("game_team_side", side_of_franchise())
         .select(*C.FCT_PLAYER_GAME)
     )
+
+
+def fct_player_game(plays: DataFrame, games: DataFrame) -> DataFrame:
+    """One row per player and game over all roles; a play counts once per role.
+
+    Role rows are first combined per franchise. That partial result gives both the
+    totals and the main franchise (most role rows, then the smallest id; no
+    franchise is a candidate too), so nothing is joined back to the role rows.
+    """
+    return player_games(player_states(plays), games)
+
+
+def running_state(base: DataFrame) -> DataFrame:
+    """Each play with the state of its game up to it: plays so far, net yards, touchdowns, the highest drive and the
+    last known down. A game of any number of plays is cut into slices of them (`running`)."""
+    plays = keyed(base).select(*KEY, "drive", "down", "yards_gained", flag("touchdown").alias("touchdown"))
+    return running(
+        plays.withColumn("one", F.lit(1)),
+        ["game_id"],
+        ["play_id"],
+        {
+            "plays_so_far": ("count", "one"),
+            "yards_so_far": ("sum", "yards_gained"),
+            "touchdowns_so_far": ("sum", "touchdown"),
+            "drive_so_far": ("max", "drive"),
+            "last_down": ("last", "down"),
+        },
+    ).select(*KEY, "plays_so_far", "yards_so_far", "touchdowns_so_far", "drive_so_far", "last_down")
