@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.oracle import contract, cols, model, with_tables
+from checks.registry import ORACLE, QUERIES, query  # noqa: F401
 from gridmart.adapters import driver_tables as adapter
 from gridmart.functions import flag
 from gridmart.ml import spec
@@ -45,20 +46,6 @@ from gridmart.sources import build_manifest, flatten, landing_status, year_range
 from gridmart.sources.registry import DATASETS
 from gridmart.sources.staging import COLUMNS
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(name: str, oracle: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLE[name] = oracle
-        return fn
-
-    return register
-
-
 _CODED = ["posteam", "defteam"]
 _PLAY = [c for c in C.FCT_PLAY if c in C.play_inputs()] + _CODED
 # Play columns that a table needs; those not listed get all.

@@ -207,7 +207,7 @@ def running_state(base: DataFrame) -> DataFrame:
     return running(
         plays.withColumn("one", F.lit(1)),
         ["game_id"],
-        ["play_id"],
+        ["play_id", "drive", "down", "yards_gained", "touchdown"],
         {
             "plays_so_far": ("count", "one"),
             "yards_so_far": ("sum", "yards_gained"),
