@@ -1,21 +1,28 @@
 """Licence scan with a generalised suffix automaton over the words of licence templates.
 
 Every text is streamed through the automaton word by word. The state tells the longest suffix read so
-far that occurs in some template (the matching statistic), and in which templates it ends where. Matches
-that cannot be extended are chained per template: in text order, ascending in the template and at most
-``MAX_GAP`` words apart. A template is found when its best chain covers ``MIN_COVER`` of its words.
+far that occurs in some template (the matching statistic); where the last ``MIN_MATCH`` words stand, in every template
+and at every place, hangs on one of its suffix ancestors. Words that go on matching at one place are a segment: a maximal match
+of ``MIN_MATCH`` words or more. Segments are chained per template: in text order, ascending in the template and at most
+``MAX_GAP`` words apart in the text; what overlaps counts once. The best chain that ends in each segment comes from
+dynamic programming; a template is found where a chain covers ``MIN_COVER`` of its words, and of chains that
+overlap in the text the one that covers most is told.
 Phrases whose every place counts (the base) are templates too: a phrase ends at a word exactly if its own
 state is the current one, matched at full length, or one of its suffix ancestors.
 
-The templates are a parameter of bounded size and travel with the task; documents are never shuffled.
+The templates are a parameter of bounded size (short notices here, whole texts in the folder ``licences``); their automaton
+is built once in each worker process. Documents are never shuffled.
 
 Edge cases: NULL and empty texts have no words, no places and score 0. Empty templates are ignored, equal
-templates under two labels give both labels. Repeated rows are scanned each for itself.
+templates under two labels give both labels. Templates shorter than ``MIN_MATCH`` words are not found. Repeated rows
+are scanned each for itself.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 
@@ -34,8 +41,11 @@ BASE = [
     ("mit license", "mit"),
 ]
 
-#: Passages of public licences and common notices, with this scan's own labels.
+_FOLDER = Path(__file__).parent / "licences"
+
+#: Short notices, whole licences and standard notices of longer ones, with this scan's own labels.
 TEMPLATES = [
+    *((f"{path.stem}-whole", path.read_text(encoding="utf-8")) for path in sorted(_FOLDER.glob("*.txt"))),
     ("mit-notice", "released under the mit license"),
     ("apache-2.0-notice", "licensed under the apache license version 2 0"),
     ("cc-by-nc-notice", "licensed under cc by nc 4 0"),
@@ -75,30 +85,29 @@ base_labels array<string>, covered array<struct<label:string,first:int,stop:int,
 
 
 class SuffixAutomaton:
-    """All factors of several word sequences. ``ends[state]``: where in which template they end first."""
+    """All factors of several word sequences. ``ends[state]``: all places (template, word) they end at."""
 
     def __init__(self, templates: Iterable[list[bytes]]):
         self.next: list[dict[bytes, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[set[tuple[int, int]]] = [set()]
         self.last: list[int] = []
         for k, words in enumerate(templates):
             state = 0
             for at, word in enumerate(words):
                 state = self._extend(state, word)
-                self.ends[state].setdefault(k, at)
+                self.ends[state].add((k, at))
             self.last.append(state)
         for state in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
-            above = self.ends[self.link[state]]
-            for k, at in self.ends[state].items():
-                above[k] = min(at, above.get(k, at))
+            if self.link[state]:
+                self.ends[self.link[state]] |= self.ends[state]
 
     def _state(self, length: int, transitions: dict[bytes, int], link: int) -> int:
         self.next.append(transitions)
         self.link.append(link)
         self.length.append(length)
-        self.ends.append({})
+        self.ends.append(set())
         return len(self.link) - 1
 
     def _split(self, parent: int, word: bytes, child: int) -> int:
@@ -148,6 +157,15 @@ class Scanner:
             [(p, len(self.phrases[p][0])) for s in a.ancestors(state) for p in by_state.get(s, ())]
             for state in range(len(a.link))
         ]
+        #: Where in templates the last MIN_MATCH words of a state stand.
+        self.places = [self._places(state) for state in range(len(a.link))]
+
+    def _places(self, state: int) -> list[tuple[int, int]]:
+        a, found = self.automaton, 0
+        for s in a.ancestors(state):
+            if a.length[s] >= MIN_MATCH:
+                found = s
+        return sorted((k, at) for k, at in a.ends[found] if found and k >= len(self.phrases))
 
     def statistics(self, words: list[bytes]):
         """(index, state, matching length) wherever something matches."""
@@ -166,48 +184,82 @@ class Scanner:
 
     def scan(self, words: list[bytes]):
         places: list[tuple[int, str]] = []
-        matches: list[tuple[int, int, dict[int, int]]] = []
+        segments: dict[int, list[tuple[int, int, int]]] = {}
         if not self.known.isdisjoint(words):
-            before = (-2, 0, 0)
+            going: dict[tuple[int, int], int] = {}  # (template, diagonal) -> first word of the text
+            last = -1
             for i, state, size in self.statistics(words):
                 for p, n in self.ending[state]:
                     if size >= n:
                         places.append((i - n + 1, self.phrases[p][1]))
-                if before[2] and (i != before[0] + 1 or size != before[2] + 1):
-                    self._keep(matches, before)
-                before = (i, state, size)
-            self._keep(matches, before)
-        return places, self._chains(matches)
-
-    def _keep(self, matches: list, found: tuple[int, int, int]) -> None:
-        i, state, size = found
-        if size >= MIN_MATCH:
-            matches.append((i - size + 1, i + 1, self.automaton.ends[state]))
-
-    def _chains(self, matches: list[tuple[int, int, dict[int, int]]]) -> list[dict]:
-        """Per template the best covered span of each chain of matches, if it covers enough."""
-        offset, found = len(self.phrases), []
-        for k, (label, words) in enumerate(self.own, start=offset):
-            chain: list[int] | None = None  # first, stop, next word of the template, covered words
-
-            def close(chain, label=label, words=words):
-                if chain and chain[3] >= MIN_COVER * len(words):
-                    share = min(1.0, chain[3] / len(words))
-                    found.append(dict(label=label, first=chain[0], stop=chain[1], share=share))
-
-            for first, stop, ends in matches:
-                if k not in ends:
+                here = self.places[state] if size >= MIN_MATCH else ()
+                if going or here:
+                    if i != last + 1:
+                        self._close(segments, going, going, last)
+                        going = {}
+                    now = {(k, i - at): going.get((k, i - at), i - MIN_MATCH + 1) for k, at in here}
+                    self._close(segments, going, going.keys() - now.keys(), last)
+                    going = now
+                last = i
+            self._close(segments, going, going, last)
+        found = [c for k, own in sorted(segments.items()) for c in self._chains(k, own)]
+        return places, found
+
+    @staticmethod
+    def _close(segments: dict, going: dict, ended, last: int) -> None:
+        for k, diagonal in ended:
+            first = going[k, diagonal]
+            segments.setdefault(k, []).append((first, last + 1, first - diagonal))
+
+    def _chains(self, k: int, segments: list[tuple[int, int, int]]) -> list[dict]:
+        """Chains of one template that cover enough, apart from each other in the text.
+
+        A segment is (first, stop, begin): words of the text, and the word of the template that it begins with.
+        """
+        label, words = self.own[k - len(self.phrases)]
+        segments = sorted(segments, key=lambda s: (s[1], s[0], s[2]))
+        stops = [s[1] for s in segments]
+        best: list[tuple[int, int]] = []  # covered words, first word of the text
+        for j, (first, stop, begin) in enumerate(segments):
+            upto = begin + stop - first
+            covered, start = stop - first, first
+            for i in range(j - 1, -1, -1):
+                if stops[i] < first - MAX_GAP:
+                    break
+                own_first, own_stop, own_begin = segments[i]
+                own_upto = own_begin + own_stop - own_first
+                if own_stop >= stop or own_upto >= upto or own_first >= first or own_begin >= begin:
                     continue
-                upto = ends[k] + 1
-                begin = upto - (stop - first)
-                if chain and chain[1] - MAX_GAP <= first <= chain[1] + MAX_GAP and upto > chain[2]:
-                    gain = min(stop - first, stop - max(first, chain[1]), upto - max(begin, chain[2]))
-                    chain = [chain[0], max(stop, chain[1]), upto, chain[3] + max(gain, 0)]
-                else:
-                    close(chain)
-                    chain = [first, stop, upto, stop - first]
-            close(chain)
-        return found
+                more = stop - first - max(0, own_stop - first, own_upto - begin)
+                if more > 0 and best[i][0] + more > covered:
+                    covered, start = best[i][0] + more, best[i][1]
+            best.append((covered, start))
+        enough = [j for j, (covered, _) in enumerate(best) if covered >= MIN_COVER * len(words)]
+        if not enough:
+            return []
+        # The best chain first, then others apart from those taken.
+        taken: list[tuple[int, int, int]] = []
+        for j in sorted(enough, key=lambda j: (-best[j][0], stops[j])):
+            span = best[j][1], stops[j], best[j][0]
+            at = bisect_right(taken, span)
+            if (not at or taken[at - 1][1] <= span[0]) and (at == len(taken) or span[1] <= taken[at][0]):
+                taken.insert(at, span)
+        return [
+            dict(label=label, first=first, stop=stop, share=min(1.0, covered / len(words)))
+            for first, stop, covered in taken
+        ]
+
+
+_scanners: dict[tuple, Scanner] = {}
+
+
+def scanner(base: list[tuple[str, str]], templates: list[tuple[str, str]]) -> Scanner:
+    """One scanner for a set of templates in each worker process, kept between tasks."""
+    key = tuple(base), tuple(templates)
+    if key not in _scanners:
+        _scanners.clear()
+        _scanners[key] = Scanner(base, templates)
+    return _scanners[key]
 
 
 def scan(
@@ -219,13 +271,13 @@ def scan(
     """``row`` (the document) and ``out``: places of base phrases and covered template spans."""
 
     def make():
-        scanner = Scanner(base, templates)
+        own = scanner(base, templates)
 
         def function(texts):
             columns: list[list] = [[] for _ in range(6)]
             for t in texts:
                 words = alnum_words(t)
-                places, covered = scanner.scan(words)
+                places, covered = own.scan(words)
                 at = [i for i, _ in places]
                 values = (
                     len(words),

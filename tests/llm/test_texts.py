@@ -111,6 +111,90 @@ def test_matching_statistics_equal_brute_force():
         assert scanner.automaton.ends[state]
 
 
+def matching_runs(words, template, least):
+    """Maximal equal runs: (first, stop, begin)."""
+    for first in range(len(words)):
+        for begin in range(len(template)):
+            if first and begin and words[first - 1] == template[begin - 1]:
+                continue
+            n = 0
+            while first + n < len(words) and begin + n < len(template) and words[first + n] == template[begin + n]:
+                n += 1
+            if n >= least:
+                yield first, first + n, begin
+
+
+def best_cover(words, template):
+    """The most words of a template that any chain of runs covers, by trying all chains."""
+    runs = sorted(matching_runs(words, template, licenses.MIN_MATCH))
+
+    def upto(run):
+        return run[2] + run[1] - run[0]
+
+    def longest(last, covered):
+        best = covered
+        for r in runs:
+            forward = r[0] > last[0] and r[2] > last[2] and r[1] > last[1] and upto(r) > upto(last)
+            if forward and r[0] - last[1] <= licenses.MAX_GAP:
+                more = r[1] - r[0] - max(0, last[1] - r[0], upto(last) - r[2])
+                if more > 0:
+                    best = max(best, longest(r, covered + more))
+        return best
+
+    return max((longest(r, r[1] - r[0]) for r in runs), default=0)
+
+
+def test_chains_equal_brute_force():
+    """Templates that repeat their phrases, texts made of their pieces."""
+    rng = random.Random(4)
+    hits = 0
+    for _ in range(120):
+        templates = [[rng.choice("abc") for _ in range(rng.randrange(8, 22))] for _ in range(3)]
+        text = []
+        while len(text) < 40:
+            t = rng.choice(templates)
+            at = rng.randrange(len(t))
+            text += t[at : at + rng.randrange(3, 9)] + [rng.choice("abcx")] * rng.randrange(3)
+        scanner = licenses.Scanner([], [(str(k), " ".join(t)) for k, t in enumerate(templates)])
+        _, found = scanner.scan([c.encode() for c in text])
+        for k, t in enumerate(templates):
+            own = sorted((f["first"], f["stop"]) for f in found if f["label"] == str(k))
+            share = max((f["share"] for f in found if f["label"] == str(k)), default=0)
+            cover = best_cover(text, t)
+            expected = min(1.0, cover / len(t)) if cover >= licenses.MIN_COVER * len(t) else 0
+            assert share == expected, (text, t)
+            assert all(a[1] <= b[0] for a, b in zip(own, own[1:]))
+            hits += bool(own)
+    assert hits > 60
+
+
+@pytest.mark.parametrize("taken", [13, 17])
+def test_a_phrase_that_a_template_has_twice(taken):
+    phrase = ["in", "the", "hope", "that"]
+    template = [f"w{k}" for k in range(20)]
+    template[2:6] = template[12:16] = phrase
+    words = template[:taken]
+    words.insert(8, "foreign")
+    scanner = licenses.Scanner([], [("x", " ".join(template))])
+    _, found = scanner.scan([w.encode() for w in words])
+    assert [(f["label"], f["first"], f["stop"]) for f in found] == [("x", 0, taken + 1)]
+    assert found[0]["share"] == taken / 20
+
+
+def test_whole_licences_are_found(spark):
+    whole = {label: text for label, text in licenses.TEMPLATES if label.endswith("-whole")}
+    assert len(whole) == 8 and all(len(t.split()) > 25 for t in whole.values())
+    rows = [(i, "some code\n" + text + "\nmore code " + text) for i, text in enumerate(whole.values())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.row.doc_id: r.out.covered for r in licenses.scan(docs).collect()}
+    for i, label in enumerate(whole):
+        own = [c for c in got[i] if c.label == label]
+        assert [c.share for c in own] == [1.0, 1.0], label
+        others = {c.label for c in got[i]} & whole.keys() - {label}
+        # The two- and the three-clause text share most of their words.
+        assert others <= {"bsd-2-clause-whole", "bsd-3-clause-whole"}, (label, others)
+
+
 def test_covered_spans_of_templates(spark):
     text = dict(licenses.TEMPLATES)["bsd-text"]
     changed = text.replace("binary forms", "some forms")
