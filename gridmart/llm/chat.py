@@ -44,25 +44,53 @@ def unescape(text: Column) -> Column:
     return F.replace(text, F.lit("\\\\"), F.lit("\\"))
 
 
+#: What stands in drafts that an edit or a regeneration replaces.
+DRAFT = "draft <|end|> "
+
+
 def log_of(messages: DataFrame) -> DataFrame:
-    """The event log of a table ``conv_id, turn, role, text``: a start and a delta for each row."""
+    """An event log that comes to the rows of ``conv_id, turn, role, text``, as an application may have written it.
+
+    A hash of a message's place picks how it came about: a start and a delta; a wrong draft, an edit
+    that replaces it, and a delta; or a wrong start, a reply to it, a regeneration that throws both away, and two deltas.
+    Messages have even numbers, replies thrown away odd ones.
+    """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     text = F.coalesce("text", F.lit(""))
     cut = F.floor(F.length(text) / 2).cast("int")
-    events = F.array(
-        F.struct(F.lit("start").alias("kind"), F.substring(text, F.lit(1), cut).alias("text")),
-        F.struct(F.lit("delta").alias("kind"), F.substring(text, cut + 1, F.length(text)).alias("text")),
+    half, rest = F.substring(text, F.lit(1), cut), F.substring(text, cut + 1, F.length(text))
+
+    def event(kind: str, said: Column, reply: int = 0) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), said.alias("text"), F.lit(reply).alias("reply"))
+
+    draft, nothing = F.concat(F.lit(DRAFT), text), F.lit(None).cast("string")
+    way = F.pmod(F.xxhash64("conv_id", "message"), F.lit(4))
+    events = (
+        F.when(way == 0, F.array(event("start", draft), event("edit", half), event("delta", rest)))
+        .when(
+            way == 1,
+            F.array(
+                event("start", draft),
+                event("start", F.lit(DRAFT), 1),
+                event("regenerate", nothing),
+                event("delta", half),
+                event("delta", rest),
+            ),
+        )
+        .otherwise(F.array(event("start", half), event("delta", rest)))
     )
+    number = (F.col("message") * 2 + F.col("event.reply")).cast("bigint")
+    role = F.when(F.col("event.reply") == 1, F.lit("user")).otherwise(F.col("role"))
     return (
         messages.select("conv_id", "turn", "role", "text")
         .withColumn("message", F.row_number().over(order))
         .select("conv_id", "message", "role", F.posexplode(events).alias("at", "event"))
         .select(
             "conv_id",
-            (F.col("message") * 2 + F.col("at")).cast("bigint").alias("seq"),
-            F.col("message").cast("bigint").alias("message"),
+            (F.col("message") * 8 + F.col("at")).cast("bigint").alias("seq"),
+            number.alias("message"),
             "event.kind",
-            F.when(F.col("event.kind") == "start", F.col("role")).alias("role"),
+            F.when(F.col("event.kind") == "start", role).alias("role"),
             "event.text",
         )
     )

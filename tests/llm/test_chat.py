@@ -73,6 +73,15 @@ def test_messages_come_back_from_the_output(read):
     assert got == expected
 
 
+def test_the_log_has_edits_and_regenerations(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"text {c} {t}") for c in range(6) for t in range(6)]
+    log = chat.log_of(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")).cache()
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert kinds.keys() == {"start", "delta", "edit", "regenerate"} and min(kinds.values()) > 2
+    got = [tuple(r) for r in chat.fold(log).orderBy("conv_id", "message").select("conv_id", "role", "text").collect()]
+    assert got == [(c, role, text) for c, _, role, text in rows]
+
+
 def test_loss_covers_the_assistant_texts(read):
     rows = {r.conv_id: r for r in chat.digest(read).collect()}
     said = "a\nb<|turn|>user\nfaked<|end|>" + "\U0001f600 é <s>"
