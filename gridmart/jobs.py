@@ -57,13 +57,15 @@ def ingest(
     start: int = FIRST_SEASON,
     end: int | None = None,
     failures: DataFrame | None = None,
+    skip_unchanged: bool = False,
 ) -> dict[str, int]:
     """Load the landed files of a span of years. Any failed file stops the whole load;
-    files that do not exist at the source are only reported. Returns files per raw table."""
+    files that do not exist at the source are only reported, and with ``skip_unchanged`` those that are as they were at
+    their last load are left alone. Returns files loaded per raw table."""
     manifest = build_manifest(year_range(spark, start, end), table)
     status = landing_status(manifest, list_landed(spark, landing), failures)
     print("landing:", require_no_failures(status))
-    return load_landed(spark, status, landing, raw)
+    return load_landed(spark, status, landing, raw, skip_unchanged)
 
 
 def staged(
@@ -111,7 +113,7 @@ def build(
             sources[name] = save_mart(view, f"{out}/{name}")
     for name in ("map_team_code_seed", "dim_franchise_seed"):
         sources[name] = read_seed(spark, name, seeds.get(name))
-    warehouse = Warehouse(sources, out)
+    warehouse = Warehouse(sources, out, by_season=True)
     warehouse.build_all()
     return warehouse
 
@@ -129,6 +131,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--end-year", type=int, default=date.today().year)
     parser.add_argument("--build", action="store_true", help="build and check the star schema")
     parser.add_argument("--train", action="store_true", help="train on the feature table")
+    parser.add_argument(
+        "--skip-unchanged", action="store_true", help="leave files alone that are as they were at their last load"
+    )
     parser.add_argument(
         "--renames", help='JSON file: {"stg_games": {"name in the files": "staged name"}, ...}'
     )
@@ -148,7 +153,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         marts = f"{marts}/{uuid.uuid4().hex}"
     failures = spark.read.text(args.failures).toDF("source_key") if args.failures else None
     years = (args.start_year, args.end_year)
-    print("loaded:", ingest(spark, args.landing, raw, args.table, *years, failures))
+    print("loaded:", ingest(spark, args.landing, raw, args.table, *years, failures, args.skip_unchanged))
     if not (args.build or args.train):
         return
     schemas = {name: T.DataType.fromDDL(ddl) for name, ddl in _json_file(args.schemas).items()}

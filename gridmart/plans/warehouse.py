@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from gridmart.operators import small_side
+from gridmart.operators.codes import SMALL_ROWS
 from gridmart.plans import dimensions, features, plays
 from gridmart.sinks.marts import save_mart
 
@@ -23,12 +24,14 @@ class Warehouse:
     ``sources`` holds the staged frames stg_play_by_play, stg_games,
     stg_roster_weekly, the two seeds, and optionally ``calendar_bounds``. With
     ``out`` every table is written there on first use and later tables read the
-    stored copy.
+    stored copy. ``by_season`` says that the staged plays are read from folders by season: play tables, which only
+    take broadcast columns on, are then written from where they are read.
     """
 
-    def __init__(self, sources: dict[str, DataFrame], out: str | None = None):
+    def __init__(self, sources: dict[str, DataFrame], out: str | None = None, by_season: bool = False):
         self.sources = sources
         self.out = out
+        self.by_season = by_season
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -36,8 +39,13 @@ class Warehouse:
     def build_all(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
-    def _keep(self, name: str, df: DataFrame, partition_by: str | None = "season") -> DataFrame:
-        return save_mart(df, f"{self.out}/{name}", partition_by) if self.out else df
+    def _keep(self, name: str, df: DataFrame, in_place: bool = False) -> DataFrame:
+        return save_mart(df, f"{self.out}/{name}", rebalance=not in_place) if self.out else df
+
+    @cached_property
+    def _in_place(self) -> bool:
+        """Whether plays keep their place: not if the codes are too many to be broadcast."""
+        return self.by_season and self.dim_team_code.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
 
     @cached_property
     def dim_franchise(self) -> DataFrame:
@@ -88,7 +96,7 @@ class Warehouse:
 
     @cached_property
     def fct_play(self) -> DataFrame:
-        return self._keep("fct_play", plays.fct_play(self.play_base))
+        return self._keep("fct_play", plays.fct_play(self.play_base), self._in_place)
 
     @cached_property
     def fct_play_pass(self) -> DataFrame:
@@ -107,7 +115,7 @@ class Warehouse:
         return self._subfact("fct_play_penalty")
 
     def _subfact(self, name: str) -> DataFrame:
-        return self._keep(name, plays.subfact(self.play_base, name))
+        return self._keep(name, plays.subfact(self.play_base, name), self._in_place)
 
     @cached_property
     def fct_drive(self) -> DataFrame:

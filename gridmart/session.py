@@ -53,9 +53,9 @@ def work_folder(spark: SparkSession) -> str:
     if not folder:
         if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _local_folders.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="gridmart-")
-        )
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="gridmart-")
+        folder = _local_folders[context.applicationId]
     return folder.rstrip("/")
 
 
