@@ -230,7 +230,7 @@ for _name in _PARTS:
          strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS closed, count(*) AS n_events,
          max(event_id) AS last_event
        FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (
-         SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 HOUR
+         SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 HOUR
            THEN 0 ELSE 1 END AS fresh FROM events) AS e) AS s
        GROUP BY user_id, session""",
 )

@@ -50,7 +50,7 @@ def land(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def sessions(
     events: DataFrame, keys: list[str], at: str, gap: str, measures: list[Column], delay: str | None = None
 ) -> DataFrame:
-    """One row per session: events of a key with less than ``gap`` between neighbours.
+    """One row per session: events of a key with ``gap`` or less between neighbours.
 
     The same for a table and for a stream. A stream needs a ``delay``: events that come later than that behind the newest one
     are dropped, and a session is told once it can't grow any more. Rows without a time belong to no session.

@@ -34,7 +34,7 @@ def by_hand(rows, gap):
         own.sort()
         session = [own[0]]
         for e in [*own[1:], None]:
-            if e is None or e[0] - session[-1][0] >= gap:
+            if e is None or e[0] - session[-1][0] > gap:
                 out.append((who, session[0][0], session[-1][0] + gap, len(session), sum(n for _, n in session)))
                 session = []
             if e is not None:
@@ -42,7 +42,8 @@ def by_hand(rows, gap):
     return sorted(out, key=str)
 
 
-MEASURES = [F.count(F.lit(1)).alias("events"), F.sum("n").alias("total")]
+def measures():
+    return [F.count(F.lit(1)).alias("events"), F.sum("n").alias("total")]
 
 
 def found(df):
@@ -52,7 +53,7 @@ def found(df):
 def test_sessions_of_a_table(spark):
     rows = [*events(random.Random(1), 150), ("a", None, 1)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    assert found(landing.sessions(df, ["who"], "at", "40 minutes", MEASURES)) == by_hand(rows, timedelta(minutes=40))
+    assert found(landing.sessions(df, ["who"], "at", "40 minutes", measures())) == by_hand(rows, timedelta(minutes=40))
 
 
 def test_a_restarted_stream_gives_the_sessions_of_the_batch(spark, tmp_path):
@@ -69,7 +70,7 @@ def test_a_restarted_stream_gives_the_sessions_of_the_batch(spark, tmp_path):
 
     def go():
         stream = landing.files_of(spark, folder, spark.createDataFrame([], SCHEMA).schema, batch_files=1)
-        own = landing.sessions(stream, ["who"], "at", "40 minutes", MEASURES, delay="2 days")
+        own = landing.sessions(stream, ["who"], "at", "40 minutes", measures(), delay="2 days")
         landing.land_sessions(own, out, check).awaitTermination()
 
     for k, part in enumerate(files):
@@ -79,7 +80,7 @@ def test_a_restarted_stream_gives_the_sessions_of_the_batch(spark, tmp_path):
     put(spark, folder, [("clock", START + timedelta(days=30), 0)])
     go()
     streamed = versions.read(spark, out).filter("who IS NULL OR who <> 'clock'")
-    batch = landing.sessions(spark.createDataFrame(rows, SCHEMA), ["who"], "at", "40 minutes", MEASURES)
+    batch = landing.sessions(spark.createDataFrame(rows, SCHEMA), ["who"], "at", "40 minutes", measures())
     assert found(streamed) == found(batch) == by_hand(rows, timedelta(minutes=40))
 
 
@@ -88,7 +89,7 @@ def test_events_beyond_the_delay_are_dropped(spark, tmp_path):
 
     def go():
         stream = landing.files_of(spark, folder, spark.createDataFrame([], SCHEMA).schema, batch_files=1)
-        own = landing.sessions(stream, ["who"], "at", "10 minutes", MEASURES, delay="1 hour")
+        own = landing.sessions(stream, ["who"], "at", "10 minutes", measures(), delay="1 hour")
         landing.land_sessions(own, out, check).awaitTermination()
 
     put(spark, folder, [("a", START, 1)])
