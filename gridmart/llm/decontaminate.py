@@ -3,10 +3,12 @@
 Patterns are the runs of ``window`` consecutive words of each benchmark item (all words of a shorter
 item). For the patterns of one length, a shift table says for each block of two words how far the
 search may move on; only where the shift is 0 a bucket of patterns that end in this block is looked
-up, and direct comparison of all words confirms an occurrence.
+up, within it by a hash of the pattern, and direct comparison of all words confirms an occurrence.
+Words are numbers of the benchmark's vocabulary; the tables are sorted arrays, some 35 bytes for a word of the benchmark.
 
-The benchmark is a side input: it is broadcast in blocks of ``BLOCK_BYTES`` of text (or one longer item), one
-pass over the documents for each block, with what was found so far stored in between. Documents are not shuffled.
+The benchmark is a side input: it is broadcast in blocks of ``BLOCK_BYTES`` of text at most, one
+pass over the documents for each block, with what was found so far stored in between. Items longer than ``PIECE_WORDS`` words
+are cut into pieces that overlap by a window. Each worker process builds a block's tables once. Documents are not shuffled.
 
 Edge cases: NULL and empty texts have no words, are hit nowhere and stay. Items without words give no
 pattern. An item with a NULL id marks words, but is not listed. Repeated items and ids count once.
@@ -15,64 +17,142 @@ Repeated documents are judged row by row. An empty benchmark hits nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridmart.llm.tables import keep
-from gridmart.llm.words import alnum_words, slices, texts_of
+from gridmart.llm.words import alnum_words, slices, span_hashes, texts_of
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-#: Buckets of items per block.
+#: Buckets of items per block, and words of a piece of an item.
 DEALT = 64
+PIECE_WORDS = 20_000
 
 FOUND = "n_words: bigint, spans: array<struct<first: int, stop: int>>, items: array<string>"
 
 
 class WuManber:
-    """Patterns of ``length`` words each, with the items they come from."""
+    """Patterns of ``length`` words: all windows of some items, given as arrays of word numbers below ``size``."""
 
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], set[str]]):
-        self.length = length
+    def __init__(self, length: int, items: list[np.ndarray], owners: list[int], size: int):
+        self.length, self.size = length, size
         self.block = min(2, length)
         self.furthest = length - self.block + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], dict] = defaultdict(dict)
-        for words, items in patterns.items():
-            for end in range(self.block, length + 1):
-                key = words[end - self.block : end]
-                self.shift[key] = min(self.shift.get(key, self.furthest), length - end)
-            self.buckets[words[-self.block :]][words] = items
-
-    def search(self, words: list[bytes]):
-        """(first, stop, items) of every occurrence, by position."""
-        length, block, furthest = self.length, self.block, self.furthest
-        shift, n, stop = self.shift, len(words), self.length
+        sizes = np.array([len(i) for i in items], dtype=np.int64)
+        self.words = np.concatenate(items).astype(np.int32)
+        begins = np.cumsum(sizes) - sizes
+        item = np.repeat(np.arange(len(items)), sizes)
+        place = np.arange(len(self.words)) - begins[item]
+        # How far a block's end is from the end of the first window that it is in.
+        here = place >= self.block - 1
+        ends = np.flatnonzero(here)
+        keys, shift = self._keys(self.words.astype(np.int64))[ends - self.block + 1], length - 1 - place[ends]
+        order = np.argsort(keys, kind="stable")
+        first = np.ones(len(keys), dtype=bool)
+        first[1:] = keys[order][1:] != keys[order][:-1]
+        least = np.minimum.reduceat(np.maximum(shift, 0)[order], np.flatnonzero(first))
+        self.keys, self.shift = keys[order][first], np.minimum(least, self.furthest).astype(np.int32)
+        # Windows by bucket, the number of the block they end in, and by hash inside it.
+        self.start = np.flatnonzero(place + length <= sizes[item])
+        bucket = np.searchsorted(self.keys, self._keys(self.words.astype(np.int64))[self.start + length - self.block])
+        found = self._places(bucket, self._hashes(self.words, self.start))
+        order = np.argsort(found, kind="stable")
+        self.found, self.start = found[order], self.start[order].astype(np.int32)
+        self.owner = np.array(owners, dtype=np.int32)[item[self.start]]
+
+    def _keys(self, words: np.ndarray) -> np.ndarray:
+        """A number for each block of words, negative where one of them is unknown."""
+        if self.block == 1:
+            return words
+        both = words[:-1] * self.size + words[1:]
+        return np.where((words[:-1] < 0) | (words[1:] < 0), -1, both)
+
+    def _hashes(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        return span_hashes((words + 1).astype(np.uint64), starts, starts + self.length)
+
+    @staticmethod
+    def _places(bucket: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Order of buckets, and of half a hash inside each."""
+        return bucket.astype(np.uint64) << np.uint64(32) | hashes >> np.uint64(32)
+
+    def shift_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shift of each block, and its bucket where that is 0."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.shift[at], self.furthest), at
+
+    def search(self, words: np.ndarray):
+        """(first, stop, owners) of every occurrence in word numbers (-1: unknown), by position."""
+        length, block, n = self.length, self.block, len(words)
+        if n < length:
+            return
+        shifts, bucket = self.shift_of(self._keys(words))
+        if shifts[length - block :].min() > 0:
+            return
+        steps, looked_up, stop = shifts.tolist(), [], length
         while stop <= n:
-            key = (words[stop - 2], words[stop - 1]) if block == 2 else (words[stop - 1],)
-            step = shift.get(key, furthest)
+            step = steps[stop - block]
             if step:
                 stop += step
-                continue
-            items = self.buckets[key].get(tuple(words[stop - length : stop]))
-            if items is not None:
-                yield stop - length, stop, items
-            stop += 1
+            else:
+                looked_up.append(stop)
+                stop += 1
+        stops = np.array(looked_up, dtype=np.int64)
+        wanted = self._places(bucket[stops - block], self._hashes(words, stops - length))
+        low, high = np.searchsorted(self.found, wanted, "left"), np.searchsorted(self.found, wanted, "right")
+        for i in np.flatnonzero(low < high).tolist():
+            stop, own = int(stops[i]), set()
+            text = words[stop - length : stop]
+            for j in range(low[i], high[i]):
+                start = self.start[j]
+                if (self.words[start : start + length] == text).all():
+                    own.add(int(self.owner[j]))
+            if own:
+                yield stop - length, stop, own
+
+
+class Patterns:
+    """The patterns of a block of items ``(id, text)``, one table for each length that occurs."""
+
+    def __init__(self, items: list[tuple[str | None, bytes | None]], window: int):
+        self.items = [item for item, _ in items]
+        self.numbers: dict[bytes, int] = {}
+        texts: dict[int, list[np.ndarray]] = defaultdict(list)
+        owners: dict[int, list[int]] = defaultdict(list)
+        for k, (_, text) in enumerate(items):
+            words = alnum_words(text)
+            if words:
+                numbers = [self.numbers.setdefault(w, len(self.numbers)) for w in words]
+                size = min(window, len(words))
+                texts[size].append(np.array(numbers, dtype=np.int32))
+                owners[size].append(k)
+        size = len(self.numbers) + 1
+        self.tables = [WuManber(n, texts[n], owners[n], size) for n in sorted(texts)]
+
+    def search(self, words: list[bytes]):
+        """(first, stop, items) of every occurrence."""
+        known = self.numbers.get
+        numbers = np.fromiter((known(w, -1) for w in words), dtype=np.int64, count=len(words))
+        for table in self.tables:
+            for first, stop, own in table.search(numbers):
+                yield first, stop, {self.items[k] for k in own} - {None}
+
+
+_patterns: dict[tuple[str, int], Patterns] = {}
 
 
-def patterns_of(items: list[tuple[str | None, bytes | None]], window: int) -> list[WuManber]:
-    by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(dict)
-    for item, text in items:
-        words = alnum_words(text)
-        size = min(window, len(words))
-        for i in range(len(words) - size + 1 if size else 0):
-            ids = by_length[size].setdefault(tuple(words[i : i + size]), set())
-            if item is not None:
-                ids.add(item)
-    return [WuManber(size, found) for size, found in sorted(by_length.items())]
+def patterns_of(name: str, items: list[tuple[str | None, bytes | None]], window: int) -> Patterns:
+    """The tables of a block, built once in each worker process and kept until the next block comes."""
+    key = name, window
+    if key not in _patterns:
+        _patterns.clear()
+        _patterns[key] = Patterns(items, window)
+    return _patterns[key]
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -87,7 +167,31 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int):
+def _cut(window: int, most: int):
+    """Items with more than ``most`` words as pieces that share all windows among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, texts = [], []
+            for item, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                words = alnum_words(text) if len(text) > most else []
+                if len(words) <= most:
+                    items.append(item)
+                    texts.append(text)
+                    continue
+                for at in range(0, len(words) - window + 1, most):
+                    items.append(item)
+                    texts.append(b" ".join(words[at : at + most + window - 1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(items, pa.string()), pa.array(texts, pa.binary())], names=["item", "text"]
+            )
+
+    return run
+
+
+def benchmark_blocks(
+    benchmark: DataFrame, item_id: str, text: str, block_bytes: int, window: int = WINDOW, piece_words: int = PIECE_WORDS
+):
     """The benchmark's different items in blocks of bounded size; only one block at a time is on the driver.
 
     Items are dealt by hash over ``DEALT`` buckets per block in the mean, and buckets are joined to blocks in order: a
@@ -97,7 +201,7 @@ def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes:
         F.col(item_id).cast("string").alias("item"),
         F.col(text).cast("binary").alias("text"),
     ).filter(F.length("text") > 0)
-    items = keep(items.distinct(), "items")
+    items = keep(items.mapInArrow(_cut(window, piece_words), items.schema).distinct(), "items")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = DEALT * -(-total // block_bytes)
     bucket = F.pmod(F.xxhash64("item", "text"), F.lit(max(buckets, 1)))
@@ -137,10 +241,11 @@ def occurrences(
     """``row`` (the document) and ``out``: its number of words, the covered spans and the items."""
     context = docs.sparkSession.sparkContext
     found = docs.select(F.struct("*").alias("row")).withColumn("out", F.lit(None).cast(f"struct<{FOUND}>"))
-    for k, block in enumerate(benchmark_blocks(benchmark, item_id, item_text, block_bytes)):
+    for k, block in enumerate(benchmark_blocks(benchmark, item_id, item_text, block_bytes, window)):
         if k:
             found = keep(found, "searched")  # the next block's pass begins when this one is done
-        found = found.mapInArrow(_search(context.broadcast(block), window, text), found.schema)
+        sent = context.broadcast((uuid.uuid4().hex, block))
+        found = found.mapInArrow(_search(sent, window, text), found.schema)
     return found
 
 
@@ -148,16 +253,15 @@ def _search(sent, window: int, text: str):
     """One block's pass: spans and items are added to those of the passes before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = patterns_of(sent.value, window)
+        patterns = patterns_of(*sent.value, window)
 
         def one(text: bytes | None, before: dict | None) -> dict:
             words = alnum_words(text)
             spans = [(s["first"], s["stop"]) for s in before["spans"]] if before else []
             items = set(before["items"]) if before else set()
-            for table in tables:
-                for first, stop, own in table.search(words):
-                    spans.append((first, stop))
-                    items |= own
+            for first, stop, own in patterns.search(words):
+                spans.append((first, stop))
+                items |= own
             merged = [{"first": a, "stop": b} for a, b in merge(spans)]
             return dict(n_words=len(words), spans=merged, items=sorted(items))
 

@@ -69,8 +69,59 @@ def test_repeated_items_are_dealt_once_into_bounded_blocks(spark):
 
 
 def test_shift_table_skips():
-    table = decontaminate.WuManber(10, {tuple(b"%d" % i for i in range(10)): {"a"}})
-    assert table.furthest == 9 and table.shift[(b"8", b"9")] == 0 and table.shift[(b"0", b"1")] == 8
+    patterns = decontaminate.Patterns([("a", b"0 1 2 3 4 5 6 7 8 9"), ("b", b"8 9"), ("c", b"x")], 10)
+    one, two, ten = patterns.tables
+    assert (one.length, two.length, ten.length, ten.furthest) == (1, 2, 10, 9)
+    shifts, _ = ten.shift_of(np.array([w * ten.size + w + 1 for w in range(10)]))
+    assert shifts.tolist() == [8, 7, 6, 5, 4, 3, 2, 1, 0, 9]
+
+
+def test_search_equals_brute_force():
+    rng = random.Random(12)
+    for window in (1, 2, 3, 7):
+        items = [(str(k % 9), " ".join(rng.choice("abc") for _ in range(rng.randrange(14)))) for k in range(14)]
+        items.append((None, "a b"))
+        patterns = decontaminate.Patterns([(i, t.encode()) for i, t in items], window)
+        words = [rng.choice("abcd") for _ in range(300)]
+        expected = {}
+        for item, text in items:
+            own = text.split()
+            n = min(window, len(own))
+            for k in range(len(own) - n + 1 if n else 0):
+                for at in places_of(own[k : k + n], words):
+                    expected.setdefault((at, at + n), set()).update({item} - {None})
+        got = {}
+        for first, stop, own in patterns.search([w.encode() for w in words]):
+            got.setdefault((first, stop), set()).update(own)
+        assert got == expected
+
+
+def test_long_items_are_cut_into_pieces(spark):
+    rng = random.Random(13)
+    words = [str(rng.randrange(50)) for _ in range(2000)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "1 2 3")], "item_id bigint, text string")
+    blocks = list(decontaminate.benchmark_blocks(bench, "item_id", "text", 3000, 10, 300))
+    pieces = [t.decode().split() for block in blocks for i, t in block if i == "1"]
+    assert len(blocks) > 2 and all(len(p) <= 309 for p in pieces)
+    windows = sorted(tuple(p[k : k + 10]) for p in pieces for k in range(len(p) - 9))
+    assert windows == sorted(tuple(words[k : k + 10]) for k in range(1991))
+
+
+def test_tables_of_a_full_block_are_bounded_and_built_once():
+    rng = np.random.default_rng(14)
+    items, size = [], 0
+    while size < decontaminate.BLOCK_BYTES:
+        text = " ".join(map(str, rng.zipf(1.3, 400) % 200_000)).encode()
+        items.append((str(len(items)), text))
+        size += len(text)
+    patterns = decontaminate.patterns_of("block", items, 10)
+    assert decontaminate.patterns_of("block", items, 10) is patterns
+    arrays = [v for t in patterns.tables for v in vars(t).values() if isinstance(v, np.ndarray)]
+    vocabulary = sum(len(w) + 120 for w in patterns.numbers)
+    assert sum(a.nbytes for a in arrays) + vocabulary < 150 << 20
+    own = items[5][1].split()
+    found = list(patterns.search([b"before"] + own[3:60] + [b"after"]))
+    assert len({f for f, _, _ in found}) == 48 and all("5" in o for _, _, o in found)
 
 
 def test_clean_documents_keep_columns_and_rows(spark, docs, rows):
