@@ -5,11 +5,14 @@ text statistics minimises the non-negative unbiased risk
 
     prior * E_P[loss(f)] + max(0, E_U[loss(-f)] - prior * E_P[loss(-f)])
 
-with the sigmoid loss, where the prior, the share of good texts, is estimated from all labelled training rows. When the second
-part turns negative, the step goes up its gradient instead, so that the model can't overfit the positives.
+with the sigmoid loss. When the second part turns negative, the step goes up its gradient instead, so that the model can't
+overfit the positives. The prior, the share of good texts, is estimated from positives and unlabelled texts alone, as no
+trusted negatives are assumed: a model fitted to half of them ranks the other half, and above a threshold the
+unlabelled ones are as many as the good ones among them at least, so the least ratio of both shares of rows above a threshold,
+by its upper confidence bound, tells the prior (at most ``HIGHEST``, beyond which the risk has no bad texts left).
 
 Fit: ``FIT_ROWS`` positives and as many unlabelled texts in the mean (documented bound), chosen by a hash of
-the id; only their ``FEATURES`` numbers reach the driver. The prior and the scores cover all rows. Scoring
+the id; only their ``FEATURES`` numbers reach the driver; the prior comes from the same rows. Scores cover all rows. Scoring
 shuffles nothing.
 
 Edge cases: NULL and empty texts have all-zero statistics and get the model's score for these. Rows with a
@@ -33,6 +36,9 @@ STEPS = 400
 RATE = 0.05
 L2 = 1e-3
 GOOD = 0.7
+#: Confidence of the bound that picks the threshold for the prior, and the largest prior.
+CONFIDENCE = 0.9
+HIGHEST = 0.99
 
 FEATURES = 11
 
@@ -103,6 +109,44 @@ def minimise(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Mode
     return Model(centre, scale, w)
 
 
+def risk(model: Model, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+    """Both parts of the risk of ``model``: positives taken for bad, and bad ones taken for good (unclipped)."""
+    sp, su = model.score(positive), model.score(unlabelled)
+    return prior * float((1 - sp).mean()), float(su.mean()) - prior * float(sp.mean())
+
+
+def least_ratio(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among unlabelled rows, from scores of both that were not fitted to."""
+    if not len(positive) or not len(unlabelled):
+        return 0.5
+    limits = np.unique(positive)
+    above_p = 1 - np.searchsorted(np.sort(positive), limits, "left") / len(positive)
+    above_u = 1 - np.searchsorted(np.sort(unlabelled), limits, "left") / len(unlabelled)
+    spread = np.log(4 / (1 - CONFIDENCE)) / 2
+    slack = np.sqrt(spread / len(positive)) + np.sqrt(spread / len(unlabelled))
+    best = np.argmin((above_u + slack) / above_p)
+    return float(above_u[best] / above_p[best])
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of good texts among unlabelled ones: one half of the rows ranks the other."""
+
+    def halves(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # In an order of their own, as rows come from Spark in any order.
+        rows = rows[np.lexsort(rows.T)]
+        return rows[::2], rows[1::2]
+
+    (p, other_p), (u, other_u) = halves(positive), halves(unlabelled)
+    found = [
+        least_ratio(model.score(b_p), model.score(b_u))
+        for model, b_p, b_u in (
+            (minimise(p, u, 0.5), other_p, other_u),
+            (minimise(other_p, other_u, 0.5), p, u),
+        )
+    ]
+    return min(float(np.mean(found)), HIGHEST)
+
+
 def _share(rows: int, of: int):
     """Condition that keeps about ``rows`` of ``of`` rows, by a hash of their id."""
     limit = (1 << 62) if rows >= of else int((1 << 62) * (rows / of))
@@ -122,8 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     free = F.coalesce(~held_out(F.col("doc_id")), F.lit(False))
     ids = labels.filter(free & F.col("quality").isNotNull()).groupBy("doc_id")
     known = ids.agg(F.min("quality").alias("quality"))
-    size = known.agg(F.count(F.lit(1)).alias("rows"), F.sum("quality").alias("good")).first()
-    good = int(size["good"] or 0)
+    good = known.filter("quality = 1").count()
     if not good:
         return minimise(np.zeros((0, FEATURES)), np.zeros((0, FEATURES)), 0.5)
     texts = docs.select("doc_id", text).filter(free)
@@ -131,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     # FIT_ROWS ids at most in the mean: small enough to broadcast.
     positive = _statistics(texts.join(F.broadcast(trusted), "doc_id"), text)
     unlabelled = _statistics(texts.filter(_share(FIT_ROWS, texts.count())), text)
-    return minimise(positive, unlabelled, min(good / size["rows"], 0.99))
+    return minimise(positive, unlabelled, estimate_prior(positive, unlabelled))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -345,6 +345,49 @@ def test_quality_of_awkward_texts(spark, docs, rows, no_docs):
     assert quality.digest(quality.score(no_docs, quality.fit(no_docs, labels))).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.15, 0.5, 0.8])
+def test_prior_of_mixtures(share):
+    """Good and bad rows from known distributions that overlap a little."""
+    rng = np.random.default_rng(int(share * 100))
+    n = 4000
+    positive = rng.normal(1.2, 1, size=(n, quality.FEATURES))
+    unlabelled = np.where(
+        (np.arange(n) < share * n)[:, None],
+        rng.normal(1.2, 1, size=(n, quality.FEATURES)),
+        rng.normal(-1.2, 1, size=(n, quality.FEATURES)),
+    )
+    found = quality.estimate_prior(positive, unlabelled)
+    assert abs(found - share) < 0.06
+    assert found == quality.estimate_prior(rng.permutation(positive), rng.permutation(unlabelled))
+
+
+def test_prior_is_near_the_labelled_share(spark):
+    """Labels are a random sample here, so the negatives that the estimate doesn't see confirm it."""
+    docs, labels = documents(spark, "/root/testdata/sf0.1"), read_table(spark, "/root/testdata/sf0.1", "labels")
+    good = labels.filter("quality = 1").select("doc_id")
+    x = quality._statistics(docs.join(good, "doc_id"), "text")
+    u = quality._statistics(docs, "text")
+    share = good.count() / labels.filter("quality IS NOT NULL").count()
+    assert abs(quality.estimate_prior(x, u) - share) < 0.1
+
+
+def test_fit_is_where_the_risk_is_least():
+    """The weights against small steps away from them, on the clipped and penalised risk."""
+    rng = np.random.default_rng(7)
+    positive = rng.normal(0.8, 1, size=(300, quality.FEATURES))
+    unlabelled = np.vstack([rng.normal(0.8, 1, size=(300, quality.FEATURES)), rng.normal(-0.8, 1, size=(300, quality.FEATURES))])
+    model = quality.minimise(positive, unlabelled, 0.5)
+
+    def value(weights):
+        as_bad, as_good = quality.risk(quality.Model(model.centre, model.scale, weights), positive, unlabelled, 0.5)
+        return as_bad + max(0.0, as_good) + quality.L2 / 2 * (weights[:-1] ** 2).sum()
+
+    base, start = value(model.weights), value(np.zeros_like(model.weights))
+    assert base < 0.5 * start
+    for _ in range(40):
+        assert value(model.weights + rng.normal(size=len(model.weights)) * 0.3) > base - 1e-3
+
+
 def test_risk_never_goes_far_below_zero():
     """Few positives that could be told apart by chance: the fit must not run off."""
     rng = np.random.default_rng(0)
