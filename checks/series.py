@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from checks.oracle import model, with_tables
 from checks.queries import _rounded, warehouse
@@ -15,6 +16,9 @@ from gridmart.plans import columns as C
 from gridmart.plans import history, plays
 from gridmart.plans.incremental import IncrementalFacts
 from gridmart.session import new_work_path, stored, tune
+from gridmart.sinks.raw import read_raw, replace_by_source_file
+from gridmart.sources import flatten, stage
+from gridmart.sources.staging import COLUMNS
 from gridmart.streaming import landing
 
 # --- series --------------------------------------------------------------------------------
@@ -221,6 +225,42 @@ def _incremental(name: str):
 for _name in _PARTS:
     _incremental(_name)
 
+# --- staging -------------------------------------------------------------------------------
+
+
+@query("staged_from_records", model("stg_games", COLUMNS["stg_games"]))
+def run_staged_records(spark, sf_dir):
+    """Games as landed records: names in capitals, numbers as fractions or text in every other season, NaN for missing
+    temperatures; loaded, flattened and staged they are the games again."""
+    games = adapter.sources(tune(spark), sf_dir)["stg_games"]
+    odd = F.col("season") % 2 == 1
+    kinds = dict(games.dtypes)
+
+    def drifted(c: str):
+        if kinds[c] in ("int", "bigint"):
+            return F.col(c).cast("double" if c.endswith("score") else "string")
+        if c == "temperature":
+            return F.coalesce(c, F.lit(float("nan")))
+        return F.col(c)
+
+    def records(some: DataFrame, columns: list) -> DataFrame:
+        return some.select(
+            F.to_variant_object(F.struct(*columns)).alias("record"),
+            F.lit("schedules").alias("source_dataset"),
+            F.col("season").cast("int").alias("source_year"),
+            F.current_timestamp().alias("loaded_at"),
+            F.concat(F.lit("schedules/games_"), F.col("season").cast("string"), F.lit(".parquet")).alias("source_file"),
+        )
+
+    as_is = records(games.filter(~odd), [F.col(c).alias(c.upper()) for c in games.columns])
+    other = records(games.filter(odd), [drifted(c).alias(c.upper()) for c in games.columns])
+    path = new_work_path(spark, "raw-games")
+    replace_by_source_file(as_is, path, [])
+    replace_by_source_file(other, path, [])
+    spelled = T.StructType([T.StructField(f.name.upper(), f.dataType) for f in games.schema])
+    return stage(flatten(read_raw(spark, path), spelled), "stg_games").select(*COLUMNS["stg_games"])
+
+
 # --- streams -------------------------------------------------------------------------------
 
 
