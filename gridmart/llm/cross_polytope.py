@@ -119,17 +119,24 @@ class Tables:
                 found[table] = found[table] * along.shape[1] + along.argmax(axis=1)
         return found
 
-    def order(self, query: np.ndarray, table: int, most: int) -> np.ndarray:
-        """One query's ``most`` best buckets of a table, best first."""
-        functions = list(self._axes(self._units(query[None], False), table))
+    def orders(self, queries: np.ndarray, table: int, most: int) -> Iterator[np.ndarray]:
+        """For each query its ``most`` best buckets of a table, best first."""
+        functions = list(self._axes(self._units(queries, False), table))
         each = max(2, int(ORDERED ** (1 / len(functions))))
-        score, bucket = np.zeros(1), np.zeros(1, dtype=np.int64)
-        for along in functions:
-            best = np.argsort(-along[0], kind="stable")[:each]
-            score = np.add.outer(score, along[0][best]).ravel()
-            bucket = np.add.outer(bucket * along.shape[1], best).ravel()
-        best = np.argsort(-score, kind="stable")[:most]
-        return bucket[best]
+        best = [np.argsort(-along, axis=1, kind="stable")[:, :each] for along in functions]
+        scores = [np.take_along_axis(along, top, 1) for along, top in zip(functions, best, strict=True)]
+        if len(functions) == 1:
+            yield from best[0][:, :most]
+            return
+        for q in range(len(queries)):
+            score, bucket = scores[0][q], best[0][q]
+            for along, top, own in zip(functions[1:], best[1:], scores[1:], strict=True):
+                score = np.add.outer(score, own[q]).ravel()
+                bucket = np.add.outer(bucket * along.shape[1], top[q]).ravel()
+            yield bucket[np.argsort(-score, kind="stable")[:most]]
+
+    def order(self, query: np.ndarray, table: int, most: int) -> np.ndarray:
+        return next(self.orders(query[None], table, most))
 
 
 def _vectors(column: pa.Array, dtype: str, dim: int) -> np.ndarray:
@@ -180,12 +187,12 @@ def _probe_ranks(tables: Tables, queries: np.ndarray, truth: np.ndarray, of: np.
     """For each true neighbour (row of ``truth``, of query ``of``) the least number of probes that reaches it."""
     keys = tables.keys(truth)
     ranks = np.full(len(truth), tables.buckets, dtype=np.int64)
-    for q in np.unique(of):
-        own = np.flatnonzero(of == q)
-        for table in range(tables.tables):
-            order = tables.order(queries[q], table, ORDERED)
+    rows = [np.flatnonzero(of == q) for q in range(len(queries))]
+    for table in range(tables.tables):
+        for own, order in zip(rows, tables.orders(queries, table, ORDERED), strict=True):
             place = {int(b): i for i, b in enumerate(order)}
-            ranks[own] = np.minimum(ranks[own], [place.get(int(k), tables.buckets) for k in keys[table, own]])
+            found = [place.get(int(k), tables.buckets) for k in keys[table, own]]
+            ranks[own] = np.minimum(ranks[own], np.array(found, dtype=np.int64))
     return ranks + 1
 
 
@@ -285,16 +292,17 @@ def _asked(tables: Tables, dtype: str):
             if not batch.num_rows:
                 continue
             exact = _matrix(batch.column(1), tables.dim)
-            for i, query in zip(batch.column(0).to_pylist(), exact, strict=True):
-                raw = query.astype(dtype).tobytes()
-                for table in range(tables.tables):
-                    probed = np.sort(tables.order(query, table, tables.probes))
+            ids, raw = batch.column(0).to_pylist(), [q.tobytes() for q in exact.astype(dtype)]
+            for table in range(tables.tables):
+                for i, vector, best in zip(ids, raw, tables.orders(exact, table, tables.probes), strict=True):
+                    probed = np.sort(best)
                     shards, begins = np.unique(tables.shard(probed), return_index=True)
                     for shard, own in zip(shards.tolist(), np.split(probed, begins[1:]), strict=True):
-                        made.append(dict(table=table, shard=shard, hash=0, vector=raw, ids=[i], buckets=own.tolist()))
-                if len(made) >= 2000:
-                    yield pa.RecordBatch.from_pylist(made, schema=_ARROW)
-                    made = []
+                        key = dict(table=table, shard=shard, hash=0)
+                        made.append({**key, "vector": vector, "ids": [i], "buckets": own.tolist()})
+                    if len(made) >= 2000:
+                        yield pa.RecordBatch.from_pylist(made, schema=_ARROW)
+                        made = []
             if made:
                 yield pa.RecordBatch.from_pylist(made, schema=_ARROW)
 
