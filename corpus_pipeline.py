@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.llm import decontaminate, langid, near_duplicates, packing, substrings
 from gridmart.llm.queries import prepare
-from gridmart.llm.tables import documents, keep, read_table
+from gridmart.llm.tables import documents, read_table
+from gridmart.session import discard, new_work_path, work_paths
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages. When a stage's output is written, what only led to it, and the output before, are deleted."""
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        others = work_paths(spark)
+        path = new_work_path(spark, f"stage-{name}")
+        out = stage(spark, docs, sf_dir)
+        out.write.option("compression", "zstd").parquet(path)
+        made = [p for p in work_paths(spark) if p not in others and p != path]
+        docs = spark.read.schema(out.schema).parquet(path)
+        discard(spark, made + before)
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -81,14 +81,26 @@ def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete what this application has written by ``stored`` and ``new_work_path``.
+def work_paths(spark: SparkSession) -> list[str]:
+    """Folders that this application has made by ``stored`` and ``new_work_path`` and not yet deleted."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
 
-    For the end of a job: frames that read these folders fail afterwards. Returns their number.
-    """
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete some work folders: frames that read them fail afterwards."""
     context, jvm = spark.sparkContext, spark.sparkContext._jvm
-    paths = _made.pop(context.applicationId, [])
     for name in paths:
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    gone = set(paths)
+    _made[context.applicationId] = [p for p in work_paths(spark) if p not in gone]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this application has written by ``stored`` and ``new_work_path``.
+
+    For the end of a job: frames that read these folders fail afterwards. Returns their number.
+    """
+    paths = work_paths(spark)
+    discard(spark, paths)
     return len(paths)

@@ -49,3 +49,15 @@ def test_release_deletes_what_was_stored(spark, monkeypatch):
     assert session.release(spark) == 0
     with pytest.raises(Exception, match="(?i)exist|not.found|FILE"):
         spark.read.parquet(path).count()
+
+
+def test_only_named_work_folders_are_discarded(spark):
+    from gridmart.session import discard, new_work_path, work_paths
+
+    one, two = (new_work_path(spark, n) for n in ("one", "two"))
+    for path in (one, two):
+        spark.range(2).write.parquet(path)
+    discard(spark, [one])
+    assert one not in work_paths(spark) and two in work_paths(spark)
+    assert spark.read.parquet(two).count() == 2
+    discard(spark, [two])
