@@ -2,9 +2,9 @@
 
 Patterns are the runs of ``window`` consecutive words of each benchmark item (all words of a shorter
 item). For the patterns of one length, a shift table says for each block of two words how far the
-search may move on; only where the shift is 0 a bucket of patterns that end in this block is looked
-up, within it by a hash of the pattern, and direct comparison of all words confirms an occurrence.
-Words are numbers of the benchmark's vocabulary; the tables are sorted arrays, some 35 bytes for a word of the benchmark.
+search may move on (blocks share its cells by hash); only where the shift is 0 a bucket of patterns that end in this block is looked
+up, within it by a hash of the words before, and direct comparison of all words confirms an occurrence.
+Words are numbers of the benchmark's vocabulary; the tables are bytes and sorted arrays, some 30 bytes for a word of the benchmark.
 
 The benchmark is a side input: it is broadcast in blocks of ``BLOCK_BYTES`` of text at most, one
 pass over the documents for each block, with what was found so far stored in between. Items longer than ``PIECE_WORDS`` words
@@ -26,94 +26,91 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridmart.llm.tables import keep
-from gridmart.llm.words import alnum_words, slices, span_hashes, texts_of
+from gridmart.llm.words import alnum_words, mix, slices, texts_of
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 #: Buckets of items per block, and words of a piece of an item.
 DEALT = 64
 PIECE_WORDS = 20_000
+#: Cells of a shift table for each block of words, and what spreads blocks over them.
+CELLS = 8
+SPREAD = 0x9E3779B1
 
 FOUND = "n_words: bigint, spans: array<struct<first: int, stop: int>>, items: array<string>"
 
 
 class WuManber:
-    """Patterns of ``length`` words: all windows of some items, given as arrays of word numbers below ``size``."""
+    """Patterns of ``length`` words: all windows of some items, given as arrays of word numbers."""
 
-    def __init__(self, length: int, items: list[np.ndarray], owners: list[int], size: int):
-        self.length, self.size = length, size
+    def __init__(self, length: int, items: list[np.ndarray], owners: list[int]):
+        self.length = length
         self.block = min(2, length)
-        self.furthest = length - self.block + 1
+        self.furthest = min(length - self.block + 1, 255)
         sizes = np.array([len(i) for i in items], dtype=np.int64)
         self.words = np.concatenate(items).astype(np.int32)
-        begins = np.cumsum(sizes) - sizes
         item = np.repeat(np.arange(len(items)), sizes)
-        place = np.arange(len(self.words)) - begins[item]
-        # How far a block's end is from the end of the first window that it is in.
-        here = place >= self.block - 1
-        ends = np.flatnonzero(here)
-        keys, shift = self._keys(self.words.astype(np.int64))[ends - self.block + 1], length - 1 - place[ends]
-        order = np.argsort(keys, kind="stable")
-        first = np.ones(len(keys), dtype=bool)
-        first[1:] = keys[order][1:] != keys[order][:-1]
-        least = np.minimum.reduceat(np.maximum(shift, 0)[order], np.flatnonzero(first))
-        self.keys, self.shift = keys[order][first], np.minimum(least, self.furthest).astype(np.int32)
-        # Windows by bucket, the number of the block they end in, and by hash inside it.
-        self.start = np.flatnonzero(place + length <= sizes[item])
-        bucket = np.searchsorted(self.keys, self._keys(self.words.astype(np.int64))[self.start + length - self.block])
-        found = self._places(bucket, self._hashes(self.words, self.start))
+        place = np.arange(len(self.words)) - (np.cumsum(sizes) - sizes)[item]
+        # How far a block's end is from the end of the first window that it is in. Blocks share the cells of a
+        # table by hash, each cell has the least shift.
+        ends = np.flatnonzero(place >= self.block - 1)
+        self.mask = (1 << max(10, (CELLS * len(ends)).bit_length())) - 1
+        cells = np.full(self.mask + 1, self.furthest, dtype=np.uint8)
+        first = self.words[ends - self.block + 1].astype(np.int64)
+        shift = np.clip(length - 1 - place[ends], 0, self.furthest).astype(np.uint8)
+        np.minimum.at(cells, first * SPREAD + self.words[ends] & self.mask, shift)
+        self.shift = cells.tobytes()
+        # Windows in the order of their hashes: first by the block they end in, the bucket, then by all words.
+        start = np.flatnonzero(place + length <= sizes[item])
+        found = self._hashes(self.words[start[:, None] + np.arange(length)])
         order = np.argsort(found, kind="stable")
-        self.found, self.start = found[order], self.start[order].astype(np.int32)
+        self.found, self.start = found[order], start[order].astype(np.int32)
         self.owner = np.array(owners, dtype=np.int32)[item[self.start]]
 
-    def _keys(self, words: np.ndarray) -> np.ndarray:
-        """A number for each block of words, negative where one of them is unknown."""
-        if self.block == 1:
-            return words
-        both = words[:-1] * self.size + words[1:]
-        return np.where((words[:-1] < 0) | (words[1:] < 0), -1, both)
-
-    def _hashes(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return span_hashes((words + 1).astype(np.uint64), starts, starts + self.length)
-
-    @staticmethod
-    def _places(bucket: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """Order of buckets, and of half a hash inside each."""
-        return bucket.astype(np.uint64) << np.uint64(32) | hashes >> np.uint64(32)
-
-    def shift_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Shift of each block, and its bucket where that is 0."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.shift[at], self.furthest), at
-
-    def search(self, words: np.ndarray):
-        """(first, stop, owners) of every occurrence in word numbers (-1: unknown), by position."""
-        length, block, n = self.length, self.block, len(words)
-        if n < length:
-            return
-        shifts, bucket = self.shift_of(self._keys(words))
-        if shifts[length - block :].min() > 0:
-            return
-        steps, looked_up, stop = shifts.tolist(), [], length
+    def _hashes(self, windows: np.ndarray) -> np.ndarray:
+        """Bucket (the block at the end) in the upper half, and the words before it in the lower."""
+
+        def of(words: np.ndarray) -> np.ndarray:
+            h = np.zeros(len(words), dtype=np.uint64)
+            for k in range(words.shape[1]):
+                h = mix(h + words[:, k].astype(np.uint64) + np.uint64(1))
+            return h >> np.uint64(32)
+
+        return of(windows[:, -self.block :]) << np.uint64(32) | of(windows[:, : -self.block])
+
+    def stops(self, numbers: dict[bytes, int], words: list[bytes]) -> list[int]:
+        """Where a window may end: the places of shift 0 that the search comes to."""
+        found, shift, mask, known, n = [], self.shift, self.mask, numbers.get, len(words)
+        furthest, stop = self.furthest, self.length
+        before = self.block  # the block's first word, counted from its end
         while stop <= n:
-            step = steps[stop - block]
+            last = known(words[stop - 1])
+            first = known(words[stop - before]) if last is not None else None
+            step = furthest if first is None else shift[first * SPREAD + last & mask]
             if step:
                 stop += step
             else:
-                looked_up.append(stop)
+                found.append(stop)
                 stop += 1
-        stops = np.array(looked_up, dtype=np.int64)
-        wanted = self._places(bucket[stops - block], self._hashes(words, stops - length))
+        return found
+
+    def search(self, numbers: dict[bytes, int], words: list[bytes]):
+        """(first, stop, owners) of every occurrence, by position."""
+        length, stops = self.length, self.stops(numbers, words)
+        if not stops:
+            return
+        known = numbers.get
+        windows = np.array([[known(w, -1) for w in words[stop - length : stop]] for stop in stops], dtype=np.int64)
+        wanted = self._hashes(windows)
         low, high = np.searchsorted(self.found, wanted, "left"), np.searchsorted(self.found, wanted, "right")
         for i in np.flatnonzero(low < high).tolist():
-            stop, own = int(stops[i]), set()
-            text = words[stop - length : stop]
-            for j in range(low[i], high[i]):
-                start = self.start[j]
-                if (self.words[start : start + length] == text).all():
-                    own.add(int(self.owner[j]))
+            own = {
+                int(self.owner[j])
+                for j in range(low[i], high[i])
+                if (self.words[self.start[j] : self.start[j] + length] == windows[i]).all()
+            }
             if own:
-                yield stop - length, stop, own
+                yield stops[i] - length, stops[i], own
 
 
 class Patterns:
@@ -131,15 +128,12 @@ class Patterns:
                 size = min(window, len(words))
                 texts[size].append(np.array(numbers, dtype=np.int32))
                 owners[size].append(k)
-        size = len(self.numbers) + 1
-        self.tables = [WuManber(n, texts[n], owners[n], size) for n in sorted(texts)]
+        self.tables = [WuManber(n, texts[n], owners[n]) for n in sorted(texts)]
 
     def search(self, words: list[bytes]):
         """(first, stop, items) of every occurrence."""
-        known = self.numbers.get
-        numbers = np.fromiter((known(w, -1) for w in words), dtype=np.int64, count=len(words))
         for table in self.tables:
-            for first, stop, own in table.search(numbers):
+            for first, stop, own in table.search(self.numbers, words):
                 yield first, stop, {self.items[k] for k in own} - {None}
 
 

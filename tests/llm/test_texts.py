@@ -72,8 +72,10 @@ def test_shift_table_skips():
     patterns = decontaminate.Patterns([("a", b"0 1 2 3 4 5 6 7 8 9"), ("b", b"8 9"), ("c", b"x")], 10)
     one, two, ten = patterns.tables
     assert (one.length, two.length, ten.length, ten.furthest) == (1, 2, 10, 9)
-    shifts, _ = ten.shift_of(np.array([w * ten.size + w + 1 for w in range(10)]))
-    assert shifts.tolist() == [8, 7, 6, 5, 4, 3, 2, 1, 0, 9]
+    number = patterns.numbers
+    shifts = [ten.shift[number[b"%d" % k] * decontaminate.SPREAD + number[b"%d" % (k + 1)] & ten.mask] for k in range(9)]
+    assert shifts == [8, 7, 6, 5, 4, 3, 2, 1, 0]
+    assert ten.stops(number, b"0 1 2 3 4 5 6 7 8 9 8 9 z z".split()) == [10]
 
 
 def test_search_equals_brute_force():
@@ -117,6 +119,7 @@ def test_tables_of_a_full_block_are_bounded_and_built_once():
     patterns = decontaminate.patterns_of("block", items, 10)
     assert decontaminate.patterns_of("block", items, 10) is patterns
     arrays = [v for t in patterns.tables for v in vars(t).values() if isinstance(v, np.ndarray)]
+    arrays += [np.frombuffer(t.shift, dtype=np.uint8) for t in patterns.tables]
     vocabulary = sum(len(w) + 120 for w in patterns.numbers)
     assert sum(a.nbytes for a in arrays) + vocabulary < 150 << 20
     own = items[5][1].split()
