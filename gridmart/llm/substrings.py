@@ -165,11 +165,14 @@ def _findings(postings: DataFrame) -> DataFrame:
     kept = ["doc_id", "tag", "first", "n", "anchored"]
     here = postings.filter("NOT late").drop("late")
     shared = here.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b")
-    # Anchors grow with the corpus, so it is the same shuffle join at every size.
-    left = keep(here.join(shared.select("anchor").hint("merge"), "anchor", "left_semi"), "shared-blocks")
+    # Stored, so that AQE may split a hot anchor: it does not where a join reads a grouping. Anchors grow with the
+    # corpus, so it is the same shuffle join at every size.
+    shared = keep(shared.select("anchor"), "shared-anchors")
+    left = keep(here.join(shared.hint("merge"), "anchor", "left_semi"), "shared-blocks")
     contents = left.groupBy("anchor", "block", "block2").agg(F.min("doc_id").alias("earliest"))
     several = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
     known = contents.join(several, "anchor", "left").select("anchor", "block", "block2", "earliest", "contents")
+    known = keep(known, "contents")
     told = left.join(known, ["anchor", "block", "block2"])
     late = F.col("doc_id") > F.col("earliest")
     told = told.filter(late | F.col("contents").isNotNull()).select(*kept, (~late).alias("open"))
