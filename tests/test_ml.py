@@ -7,13 +7,14 @@ from statistics import median
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gridmart.ml import spec
 from gridmart.ml.metrics import binary_metrics, roc_auc
 from gridmart.ml.preprocess import apply_preprocess, encoder, fit_preprocess, impute
 from gridmart.ml.split import chrono_split, model_input, select_seasons
-from gridmart.ml.train import dummy_prediction, fit_logistic, train_job
+from gridmart.ml.train import dummy_prediction, fit, fit_logistic, train, train_job
 from gridmart.operators import exact_medians, modes
 from gridmart.operators.quantiles import add_buckets
 from gridmart.sinks import append_result, create_result_tables
@@ -217,6 +218,39 @@ def test_training_run(spark, features):
     assert (empty.success, empty.rows) == (True, 0)
 
 
+def test_metrics_and_predictions_match_newton(features):
+    """Everything that the trained model writes, from weights of another solver and metrics by hand."""
+    split = chrono_split(model_input(features)).cache()
+    fitted = fit(split.filter("split = 'train'"))
+    coded = fitted.coder.transform(apply_preprocess(split, fitted.preprocess))
+    rows = coded.select("game_id", "split", spec.TARGET, vector_to_array("features").alias("x")).collect()
+    x, y = np.array([r.x for r in rows]), np.array([r[spec.TARGET] for r in rows], dtype=float)
+    part = np.array([r.split for r in rows])
+    w = newton(x[part == "train"], y[part == "train"])
+    chance = 1 / (1 + np.exp(-np.hstack([x, np.ones((len(x), 1))]) @ w))
+    run = train(features, "r")
+    told = {r.game_id: r for r in run.predictions.collect()}
+    assert len(told) == (part == "test").sum()
+    for r, p in zip(rows, chance):
+        if r.split == "test":
+            own = told[r.game_id]
+            assert abs(own.predicted_success_probability - p) < 1e-4
+            assert own.predicted_is_successful_play == (p > 0.5) and own.actual_is_successful_play == r[spec.TARGET]
+    metrics = {
+        (r.split_name, r.metric_name): r.metric_value
+        for r in run.metrics.filter(F.col("model_name") == spec.LOGISTIC).collect()
+    }
+    for name in ("validation", "test"):
+        own, guess, p = y[part == name], chance[part == name] > 0.5, chance[part == name]
+        hit = (guess & (own == 1)).sum()
+        good, bad = p[own == 1], p[own == 0]
+        area = np.mean([(a > b) + (a == b) / 2 for a in good for b in bad])
+        assert abs(metrics[name, "accuracy"] - np.mean(guess == own)) < 1e-9
+        assert abs(metrics[name, "precision"] - hit / max(1, guess.sum())) < 1e-9
+        assert abs(metrics[name, "recall"] - hit / (own == 1).sum()) < 1e-9
+        assert abs(metrics[name, "roc_auc"] - area) < 1e-3
+
+
 def test_model_input(spark, features):
     with pytest.raises(ValueError, match="missing expected columns: roof"):
         model_input(features.drop("roof"))
