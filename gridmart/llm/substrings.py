@@ -18,6 +18,8 @@ Hot passages: each task drops blocks that it has seen in an earlier document of
 anything is shuffled; from then on every step is a grouped minimum, combined before the shuffle, and a join with it, which
 AQE may split. No step gathers more than one document's findings in a row.
 
+Disk: every step is stored; its shuffles, and the tables that only led to it, are deleted then.
+
 Edge cases: NULL and empty texts have no words. Texts shorter than the window are left alone. Rows with a
 NULL id are left alone and are no source. Rows with the same id don't cut each other, whatever their texts.
 Repeats inside one document stay, unless an earlier one has them. Columns of any name pass through.
@@ -35,8 +37,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
-from gridmart.llm.tables import keep
+from gridmart.llm.tables import keep_alone
 from gridmart.llm.words import Words, mix, slices, span_hashes, split, texts_of, windows
+from gridmart.session import discard
 
 WINDOW = 50
 
@@ -160,19 +163,22 @@ def _post(window: int):
     return run
 
 
-def _findings(postings: DataFrame) -> DataFrame:
-    """Blocks that repeat an earlier document, and ``open`` ones, whose windows are still to be compared."""
+def _findings(postings: DataFrame, made: list[str]) -> DataFrame:
+    """Blocks that repeat an earlier document, and ``open`` ones, whose windows are still to be compared.
+
+    ``made`` gets the folders that they are read from.
+    """
     kept = ["doc_id", "tag", "first", "n", "anchored"]
     here = postings.filter("NOT late").drop("late")
     shared = here.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b")
     # Stored, so that AQE may split a hot anchor: it does not where a join reads a grouping. Anchors grow with the
     # corpus, so it is the same shuffle join at every size.
-    shared = keep(shared.select("anchor"), "shared-anchors")
-    left = keep(here.join(shared.hint("merge"), "anchor", "left_semi"), "shared-blocks")
+    shared = keep_alone(shared.select("anchor"), "shared-anchors", made)
+    left = keep_alone(here.join(shared.hint("merge"), "anchor", "left_semi"), "shared-blocks", made)
     contents = left.groupBy("anchor", "block", "block2").agg(F.min("doc_id").alias("earliest"))
     several = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
     known = contents.join(several, "anchor", "left").select("anchor", "block", "block2", "earliest", "contents")
-    known = keep(known, "contents")
+    known = keep_alone(known, "contents", made)
     told = left.join(known, ["anchor", "block", "block2"])
     late = F.col("doc_id") > F.col("earliest")
     told = told.filter(late | F.col("contents").isNotNull()).select(*kept, (~late).alias("open"))
@@ -270,8 +276,11 @@ def _pieces(window: int, length: int):
     return run
 
 
-def _repeated_windows(blocks: DataFrame, window: int) -> DataFrame:
-    """``_id, _tag, place`` of each window of open blocks that an earlier document has, level by level."""
+def _repeated_windows(blocks: DataFrame, window: int, made: list[str]) -> DataFrame:
+    """``_id, _tag, place`` of each window of open blocks that an earlier document has, level by level.
+
+    ``made`` has the folder of the blocks; it goes when what is left of them is stored.
+    """
     key = ["_id", "_tag", "first"]
     whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("n") - 1).alias("high")))
     alive = blocks.dropDuplicates(key).withColumn("alive", whole)
@@ -286,9 +295,12 @@ def _repeated_windows(blocks: DataFrame, window: int) -> DataFrame:
         if length == window:
             break
         ranges = left.groupBy(*key).agg(F.collect_list(F.struct("low", "high")).alias("alive"))
-        alive = keep(alive.drop("alive").join(ranges, key), "alive-blocks")
+        before = made.copy()
+        alive = keep_alone(alive.drop("alive").join(ranges, key), "alive-blocks", made)
         if alive.isEmpty():
             break
+        discard(alive.sparkSession, before)
+        del made[: len(before)]
     late = left.filter(F.col("_id") > F.col("earliest")) if length == window else left.filter(F.lit(False))
     return late.select("_id", "_tag", F.explode(F.sequence("low", "high")).alias("start"), "first").select(
         "_id", "_tag", (F.col("first") + F.col("start")).alias("place")
@@ -317,10 +329,11 @@ def remove_repeats(
 
     ``result.kept`` is the text that is left, NULL where nothing was removed.
     """
+    made: list[str] = []
     key = F.col("doc_id").cast("bigint")
     posted = docs.select(key, F.col(text).cast("string")).filter(F.col("doc_id").isNotNull())
-    postings = keep(posted.mapInArrow(_post(window), _spark(POSTING)), "blocks")
-    found = _findings(postings)
+    postings = keep_alone(posted.mapInArrow(_post(window), _spark(POSTING)), "blocks", made)
+    found = _findings(postings, made)
     # One document's blocks.
     by_doc = found.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(
         F.collect_list(F.struct("first", "n", "anchored", "open")).alias("_found")
@@ -336,15 +349,18 @@ def remove_repeats(
     joined = keyed.join(by_doc, ["_id", "_tag"], "left")
     results = _spark(pa.schema([("result", RESULT), ("pending", PENDING)])).fields
     settled_type = StructType(keyed.select("row", "_id", "_tag").schema.fields + results)
-    settled = keep(
+    settled = keep_alone(
         joined.select("row", "_id", "_tag", "_text", "_found").mapInArrow(
             _settle(window, texts), settled_type
         ),
         "settled",
+        [],
     )
+    discard(docs.sparkSession, made)
     left = settled.filter("pending IS NOT NULL").select("row", "_id", "_tag", "pending.*")
-    blocks = keep(left.select("_id", "_tag", F.inline("open")), "open-blocks")
-    late = _repeated_windows(blocks, window).groupBy("_id", "_tag").agg(F.collect_list("place").alias("_late"))
+    made = []
+    blocks = keep_alone(left.select("_id", "_tag", F.inline("open")), "open-blocks", made)
+    late = _repeated_windows(blocks, window, made).groupBy("_id", "_tag").agg(F.collect_list("place").alias("_late"))
     finished = (
         left.select("row", "_id", "_tag", "text", "sure")
         .join(late, ["_id", "_tag"], "left")

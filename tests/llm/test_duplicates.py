@@ -2,14 +2,18 @@
 
 import hashlib
 import random
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridmart import session
 from gridmart.llm import near_duplicates, simhash, substrings
 from gridmart.llm.components import components
+from gridmart.llm.tables import keep_alone
 
 
 def removed(rows, window):
@@ -96,6 +100,48 @@ def test_words_that_collide_modulo_a_power_of_two(spark):
     assert {r.n_removed for r in got.collect()} == {0}
 
 
+def shuffle_files(spark):
+    """Shuffle files on this session's disk; they are deleted in the background, so wait until their number stands."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    found, last = None, set()
+    while found != last:
+        found = last
+        time.sleep(1)
+        last = {f for d in folders for f in Path(d.getPath()).rglob("shuffle_*.data")}
+    return last
+
+
+def test_only_what_the_result_is_read_from_stays_on_disk(spark, docs, rows):
+    docs.count()
+    paths, files = session.work_paths(spark), shuffle_files(spark)
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    found = substrings.digest(substrings.remove_repeats(docs))
+    made = [p.split("/")[-1].rsplit("-", 1)[0] for p in session.work_paths(spark) if p not in paths]
+    assert made == ["settled", "alive-blocks"]
+    assert not shuffle_files(spark) - files
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    # The result can be read as often as one likes.
+    for _ in range(2):
+        assert sorted(map(tuple, found.collect()), key=str) == removed(rows, 50)
+
+
+def test_what_is_kept_alone_leaves_other_shuffles(spark):
+    """Those of a cached input stay, and the setting returns even if the step fails."""
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    others, made = shuffle_files(spark), []
+    cached = spark.range(1000).repartition(5, "id").cache()
+    cached.write.format("noop").mode("overwrite").save()  # without a shuffle of its own
+    of_cached = shuffle_files(spark) - others
+    kept = keep_alone(cached.groupBy((F.col("id") % 7).alias("k")).count(), "sevenths", made)
+    assert kept.count() == 7 and len(made) == 1
+    assert of_cached and of_cached <= shuffle_files(spark)
+    with pytest.raises(Exception, match="no such row"):
+        keep_alone(cached.select(F.raise_error(F.lit("no such row")).alias("x")), "fails", made)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    session.discard(spark, made)
+    cached.unpersist()
+
+
 def test_columns_of_any_name(spark):
     text = " ".join(f"w{k}" for k in range(60))
     names = ["_kept", "a.b", "a`b", "_id", "_found", "gone", "id", "anchor", "n_chars", "kept"]
