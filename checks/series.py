@@ -312,6 +312,29 @@ def _stream(spark: SparkSession, folder: str, out: str, check: str, events: Data
 _SETS = [["season", "play_type", "team"], ["season", "play_type"], ["season"], ["play_type"], []]
 
 
+def exact_per_set(some: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group of each grouping set the number of games and the yards around the median.
+
+    Two aggregates that are joined: in one, the distinct games would have a digest of yards kept for every game of
+    every group, and those of a large group merged one by one. The digests of each set are made apart: those of a set of
+    few groups then stay in memory, and rows need not be sorted for them.
+    """
+    sets = [[F.col(c) for c in s] for s in _SETS]
+    level = F.grouping_id().cast("bigint").alias("grouping_id")
+    games = some.select(*keys, "game_id").distinct().groupingSets(sets, *[F.col(c) for c in keys]).agg(
+        level, F.count_distinct("game_id").alias("exact_games")
+    )
+    spread = F.percentile_approx("yards_gained", [0.44, 0.56], 1_000_000).alias("middle")
+    middle = None
+    for one in _SETS:
+        found = some.groupingSets([[F.col(c) for c in one]], *[F.col(c) for c in keys]).agg(level, spread)
+        middle = found if middle is None else middle.unionByName(found)
+    same = F.col("g.grouping_id") == F.col("m.grouping_id")
+    for c in keys:
+        same = same & F.col(f"g.{c}").eqNullSafe(F.col(f"m.{c}"))
+    return games.alias("g").join(middle.alias("m"), same).select("g.*", "middle")
+
+
 @query(
     "play_rollup",
     with_tables(
@@ -332,11 +355,7 @@ def run_rollup_of_states(spark, sf_dir):
     keys = ["season", "play_type", "team"]
     per_group = stored(sketches.states(some, keys, measures), "play-states")
     found = sketches.estimates(sketches.combined(per_group, keys, measures, _SETS), measures)
-    exact = some.groupingSets([[F.col(c) for c in s] for s in _SETS], *[F.col(c) for c in keys]).agg(
-        F.grouping_id().cast("bigint").alias("grouping_id"),
-        F.count_distinct("game_id").alias("exact_games"),
-        F.percentile_approx("yards_gained", [0.44, 0.56], 1_000_000).alias("middle"),
-    )
+    exact = exact_per_set(some, keys)
     same = F.col("f.grouping_id") == F.col("e.grouping_id")
     for c in keys:
         same = same & F.col(f"f.{c}").eqNullSafe(F.col(f"e.{c}"))

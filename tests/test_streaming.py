@@ -1,5 +1,6 @@
 """Streams against the batch job over the same files, with restarts; sketches against exact values."""
 
+import math
 import random
 from collections import defaultdict
 from datetime import datetime, timedelta
@@ -166,3 +167,30 @@ def test_states_of_seasons_are_merged_later(plays):
 
 def test_no_rows_have_no_states(plays):
     assert sketches.states(plays.limit(0), ["team"], MEASURED).count() == 0
+
+
+def test_exact_rollup_keeps_no_digest_per_game(spark):
+    """Distinct games and digests in one aggregate keep a digest for every game of every group."""
+    from checks import series
+
+    keys = ["season", "play_type", "team"]
+    rows = [(s, p, t, float((i * 7) % 41), f"g{i % 3}" if i % 5 else None) for i, (s, p, t) in enumerate(
+        (s, p, t) for s in (1, 2, None) for p in ("run", None) for t in ("A", "B", None) for _ in range(9))]
+    plays = spark.createDataFrame(rows, "season int, play_type string, team string, yards_gained double, game_id string")
+    exact = series.exact_per_set(plays, keys)
+    got = {(r.grouping_id, r.season, r.play_type, r.team): (r.exact_games, list(r.middle)) for r in exact.collect()}
+    want = {}
+    for kept in series._SETS:
+        level = sum(1 << i for i, c in enumerate(reversed(keys)) if c not in kept)
+        groups = {}
+        for r in rows:
+            groups.setdefault((level, *(r[i] if c in kept else None for i, c in enumerate(keys))), []).append(r)
+        for k, own in groups.items():
+            yards = sorted(r[3] for r in own)
+            ranks = [yards[math.ceil(p * len(yards)) - 1] for p in (0.44, 0.56)]
+            want[k] = (len({r[4] for r in own} - {None}), ranks)
+    assert got == want
+    plan = exact._jdf.queryExecution().optimizedPlan().toString()
+    digests = [line for line in plan.splitlines() if "percentile_approx" in line]
+    assert digests and not any("count(distinct" in line for line in digests)
+    assert not any("game_id" in line for line in digests)
