@@ -14,8 +14,8 @@ from gridmart.operators import as_of_join, overlap_join, running
 from gridmart.operators import sketches
 from gridmart.plans import columns as C
 from gridmart.plans import history, plays
-from gridmart.plans.incremental import IncrementalFacts
-from gridmart.session import new_work_path, stored, tune
+from gridmart.plans.incremental import INPUTS, IncrementalFacts
+from gridmart.session import discard, new_work_path, stored, tune, work_paths
 from gridmart.sinks.raw import read_raw, replace_by_source_file
 from gridmart.sources import flatten, stage
 from gridmart.sources.staging import COLUMNS
@@ -196,9 +196,11 @@ def _incremental(name: str):
     def run(spark, sf_dir):
         """The fact after a file was added, one changed, and one removed, against the model of all plays."""
         wide = warehouse(spark, sf_dir, name)
-        known = wide.sources["stg_play_by_play"]
+        known = wide.sources["stg_play_by_play"].select(*INPUTS[_PARTS[name]])
         file = F.concat(F.lit("pbp/play_by_play_"), F.col("season").cast("string"), F.lit(".parquet"))
-        whole = stored(known.withColumn("source_file", file), "plays-by-file", partition_by="source_file")
+        others = work_paths(spark)
+        whole = stored(known.withColumn("source_file", file), "plays-by-file", partition_by="source_file", rebalance=False)
+        landed = [p for p in work_paths(spark) if p not in others]
         keys = sorted(r[0] for r in whole.select("source_file").distinct().collect())
         facts = IncrementalFacts(spark, new_work_path(spark, "incremental"), [_PARTS[name]])
 
@@ -214,6 +216,7 @@ def _incremental(name: str):
         changes = facts.update(prints, lambda wanted: whole.filter(F.col("source_file").isin(wanted)), codes)
         if changes.read != sorted({keys[0], keys[-1]}) or changes.removed != ["pbp/mistake.parquet"]:
             raise AssertionError(f"other files than the changed ones: {changes}")
+        discard(spark, landed)
         result = {
             "fct_game": lambda: facts.fct_game(wide.game_base),
             "fct_drive": facts.fct_drive,

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridmart.session import new_work_path
+from gridmart.session import new_work_path, without_shuffles
 
 __all__ = ["documents", "held_out", "keep", "keep_alone", "read_table"]
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,17 +27,6 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def _without_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what runs in here go at its end, and not when the driver happens to collect its garbage."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
 def keep_alone(df: DataFrame, label: str, made: list[str]) -> DataFrame:
     """Like ``keep``; the shuffles that led to the copy are deleted, and ``made`` gets its folder for ``discard``.
 
@@ -50,7 +34,7 @@ def keep_alone(df: DataFrame, label: str, made: list[str]) -> DataFrame:
     """
     path = new_work_path(df.sparkSession, label)
     made.append(path)
-    with _without_shuffles(df.sparkSession):
+    with without_shuffles(df.sparkSession):
         df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -19,7 +19,7 @@ from gridmart.functions import is_no_play, is_real_play
 from gridmart.operators import conditional_rollup
 from gridmart.plans import columns as C
 from gridmart.plans import plays as P
-from gridmart.session import stored
+from gridmart.session import discard, stored, without_shuffles, work_paths
 from gridmart.sinks import versions
 from gridmart.sinks.versions import KEY
 
@@ -96,7 +96,17 @@ PARTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     },
     "game_states": game_states,
     "drive_states": drive_states,
-    "player_states": lambda base: P.player_states(base.select(*C.FCT_PLAY, KEY), KEY),
+    "player_states": lambda base: P.player_states(base, KEY),
+}
+
+#: Staged columns that the states are made of, with those of the team codes and of the play's key.
+INPUTS = {
+    name: ["game_id", "play_id", "season", "play_type", "epa", "posteam", "defteam", *more]
+    for name, more in {
+        "game_states": ["success"],
+        "drive_states": ["drive", "success", *C.DRIVE_INPUTS],
+        "player_states": ["nfl_week", *P.PLAYER_ROLES.values()],
+    }.items()
 }
 
 
@@ -146,9 +156,17 @@ class IncrementalFacts:
         prints = {k: f"{p} {mark}" for k, p in prints.items()}
         found = self.changes(prints)
         if found.read:
-            base = stored(P.play_base(load(found.read), team_codes), "changed-plays", partition_by=KEY)
-            for name in self.parts:
-                versions.replace(PARTS[name](base), self._path(name), found.read)
+            base, own = P.play_base(load(found.read), team_codes), []
+            # Plays are kept for several parts to read, or to lie together by file; the states of one part are aggregated on
+            # the way, and all but their columns pruned.
+            if len(self.parts) > 1 or self.parts[0] not in INPUTS:
+                others = work_paths(self.spark)
+                base = stored(base, "changed-plays", partition_by=KEY)
+                own = [p for p in work_paths(self.spark) if p not in others]
+            with without_shuffles(self.spark):
+                for name in self.parts:
+                    versions.replace(PARTS[name](base), self._path(name), found.read)
+            discard(self.spark, own)
         if found.removed:
             for name in self.parts:
                 versions.remove(self.spark, self._path(name), found.removed)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,17 +67,34 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def without_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs in here go at its end, and not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, label: str, partition_by: str | None = None, rebalance: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut there.
 
     Unlike an RDD checkpoint the copy is columnar, so later passes read only
     the columns they need, and it outlives lost executors. With ``partition_by`` rows are rebalanced
-    first, so that a folder gets a few files of good size and not one from every task.
+    first, so that a folder gets a few files of good size and not one from every task; without ``rebalance``
+    each task writes its own, and no row is shuffled.
     """
     spark = df.sparkSession
     path = new_work_path(spark, label)
     if partition_by:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        rows = df.hint("rebalance", partition_by) if rebalance else df
+        with without_shuffles(spark):
+            rows.write.option("compression", "zstd").partitionBy(partition_by).parquet(path)
     else:
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -135,7 +135,7 @@ def replace(df: DataFrame, path: str, keys: list[str], known: dict[str, dict] |
     folder is removed by `vacuum`.
     """
     load = f"load={uuid.uuid4().hex}"
-    df.write.partitionBy(KEY).parquet(f"{path.rstrip('/')}/{load}")
+    df.write.option("compression", "zstd").partitionBy(KEY).parquet(f"{path.rstrip('/')}/{load}")
     written = _Folder(df.sparkSession, path).keys(load)
     known = known or {}
 

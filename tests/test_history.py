@@ -10,7 +10,8 @@ import fixtures as fx
 from gridmart.plans import columns as C
 from gridmart.plans import history, plays
 from gridmart.plans.dimensions import dim_game, dim_team_code, dim_franchise, game_base
-from gridmart.plans.incremental import IncrementalFacts
+from gridmart.plans.incremental import INPUTS, IncrementalFacts
+from gridmart.session import work_paths
 
 ROSTER = "gsis_id string, season int, week int, team string, player_position string, jersey_number int"
 
@@ -205,3 +206,35 @@ def test_an_update_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
     assert facts.fct_play().count() == 6 and facts.update(files.prints(), files.load, codes).read == []
     # Other team codes change all plays.
     assert facts.update(files.prints(), files.load, codes.limit(1)).changed == ["pbp/2020"]
+
+
+@pytest.mark.parametrize("part", ["drive_states", "game_states", "player_states"])
+def test_states_need_few_columns_and_keep_no_plays(spark, tmp_path, part):
+    seeds = fx.seeds(spark)
+    codes = dim_team_code(seeds["map_team_code_seed"], dim_franchise(seeds["dim_franchise_seed"]))
+    games = game_base(fx.rows(spark, "stg_games", [fx.game(f"g2020{k}", season=2020) for k in range(3)]), codes)
+    files, facts = Files(spark), IncrementalFacts(spark, str(tmp_path / "facts"), [part])
+    files.put("pbp/2020", season_plays(2020, 12))
+    files.put("pbp/2021", season_plays(2021, 9, game="g20200"))
+    before = work_paths(spark)
+    facts.update(files.prints(), lambda keys: files.load(keys).select(*INPUTS[part], "source_file"), codes)
+    assert work_paths(spark) == before
+    base = plays.play_base(files.all(), codes)
+    got, full = {
+        "drive_states": lambda: (facts.fct_drive(), plays.fct_drive(base)),
+        "game_states": lambda: (facts.fct_game(games), plays.fct_game(games, plays.fct_play(base))),
+        "player_states": lambda: (
+            facts.fct_player_game(dim_game(games)), plays.fct_player_game(plays.fct_play(base), dim_game(games))
+        ),
+    }[part]()
+    assert rounded(got) == rounded(full)
+
+
+def test_plays_kept_for_several_parts_are_deleted(spark, tmp_path):
+    seeds = fx.seeds(spark)
+    codes = dim_team_code(seeds["map_team_code_seed"], dim_franchise(seeds["dim_franchise_seed"]))
+    files, facts = Files(spark), IncrementalFacts(spark, str(tmp_path / "facts"), ["fct_play", "drive_states"])
+    files.put("pbp/2020", season_plays(2020, 12))
+    before = work_paths(spark)
+    facts.update(files.prints(), files.load, codes)
+    assert work_paths(spark) == before and facts.fct_play().count() == 12

@@ -61,3 +61,17 @@ def test_only_named_work_folders_are_discarded(spark):
     assert one not in work_paths(spark) and two in work_paths(spark)
     assert spark.read.parquet(two).count() == 2
     discard(spark, [two])
+
+
+def test_a_copy_by_key_leaves_no_shuffle_files(spark):
+    """Rows that need not be rebalanced are not shuffled, and files of a shuffle go when the copy is written."""
+    from gridmart.session import stored
+
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    rows = spark.range(1000).selectExpr("id", "id % 3 AS k")
+    counts = []
+    for rebalance in (True, False):
+        before = tracker.shuffleStatuses().size()
+        assert sorted(map(tuple, stored(rows, "by-key", "k", rebalance).collect())) == sorted(map(tuple, rows.collect()))
+        counts.append(tracker.shuffleStatuses().size() - before)
+    assert counts[0] <= 0 and counts[1] <= 0
