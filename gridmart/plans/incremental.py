@@ -79,7 +79,9 @@ def drives_of(states: DataFrame) -> DataFrame:
 def player_games_of(states: DataFrame, games: DataFrame) -> DataFrame:
     """``fct_player_game`` from the states of all files."""
     summed = [c for c in states.columns if c.endswith("_count")] + ["epa_sum"]
-    whole = states.groupBy("game_id", "player_id", "franchise_id").agg(
+    # Both aggregates find their rows together then: one shuffle of all states and not two.
+    near = states.repartition("game_id", "player_id")
+    whole = near.groupBy("game_id", "player_id", "franchise_id").agg(
         F.max("season").alias("season"), F.max("nfl_week").alias("nfl_week"), *[F.sum(c).alias(c) for c in summed]
     )
     return P.player_games(whole, games)

@@ -238,3 +238,14 @@ def test_plays_kept_for_several_parts_are_deleted(spark, tmp_path):
     before = work_paths(spark)
     facts.update(files.prints(), files.load, codes)
     assert work_paths(spark) == before and facts.fct_play().count() == 12
+
+
+def test_player_states_are_shuffled_once_to_be_combined(spark, tmp_path):
+    seeds = fx.seeds(spark)
+    codes = dim_team_code(seeds["map_team_code_seed"], dim_franchise(seeds["dim_franchise_seed"]))
+    files, facts = Files(spark), IncrementalFacts(spark, str(tmp_path / "facts"), ["player_states"])
+    files.put("pbp/2020", season_plays(2020, 12))
+    facts.update(files.prints(), files.load, codes)
+    games = dim_game(game_base(fx.rows(spark, "stg_games", [fx.game("g20200", season=2020)]), codes))
+    plan = facts.fct_player_game(games)._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "player_id" in x.split("hashpartitioning")[1].split(")")[0]]) == 1
